@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from oracles.audit import audit_sql
 from oracles.gold import gold_sql
+from oracles.reporting import reporting_sql
 
 
 def oracle_queries() -> dict[str, str]:
-    return {**gold_sql()}
+    return {**gold_sql(), **audit_sql(), **reporting_sql()}

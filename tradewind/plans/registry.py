@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.measures import FINE
-from tradewind.operators import conform, patterns, rules
+from tradewind.operators import audit, conform, metrics, patterns, reports, rules
 from tradewind.plans import gold
 from tradewind.plans.sample_star import SampleStar
 from tradewind.schema import SOURCES
@@ -59,6 +59,100 @@ def _rfm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return scores.withColumn("monetary", FINE.to_money(F.col("monetary")))
 
 
+# -- audit -----------------------------------------------------------------------------------
+
+# The sample tables name their keys ...key and differently on both sides of a reference.
+SAMPLE_PATTERNS = audit.Patterns(ids=r"(_id$|^id$|key$)")
+SAMPLE_FOREIGN_KEYS = {
+    ("nation", "n_regionkey"): ("region", "r_regionkey"),
+    ("customer", "c_nationkey"): ("nation", "n_nationkey"),
+    ("supplier", "s_nationkey"): ("nation", "n_nationkey"),
+    ("orders", "o_custkey"): ("customer", "c_custkey"),
+    ("lineitem", "l_orderkey"): ("orders", "o_orderkey"),
+    ("lineitem", "l_partkey"): ("part", "p_partkey"),
+    ("lineitem", "l_suppkey"): ("supplier", "s_suppkey"),
+    ("events", "user_id"): ("customer", "c_custkey"),
+    ("labels", "doc_id"): ("documents", "doc_id"),
+}
+
+
+def _audited(kind: str | None = None, summary: bool = False) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        star = SampleStar(spark, folder).star()
+        found = audit.audit_model(star, _date(AS_OF), kinds=None if kind is None else [kind])
+        return audit.audit_summary(found) if summary else found
+
+    return run
+
+
+def _audit_sample_tables(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.audit_model(
+        SampleStar(spark, folder).sample_tables(), _date(AS_OF),
+        patterns=SAMPLE_PATTERNS, fk_map=SAMPLE_FOREIGN_KEYS,
+    )
+
+
+# -- metrics and alerts ------------------------------------------------------------------------
+
+CURRENT_RUN = "2001-08"
+NOW = "2001-08-02 12:00:00"
+
+
+def _tables(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
+    """Derived tables by name, and typed tables for those who ask for one."""
+    made = gold_context(spark, folder)
+    return lambda name: made.star[name] if name in made.star else made.table(name)
+
+
+def monthly_history(trend: DataFrame) -> DataFrame:
+    """Each month of the revenue trend as one run of a metric history."""
+    numbers = ["orders", "revenue", "avg_order_value", "delivered_pct"]
+    return trend.select("month", *[F.col(n).cast("double").alias(n) for n in numbers]).unpivot(
+        "month", numbers, "metric_name", "value"
+    ).select(
+        "metric_name",
+        "value",
+        F.col("month").cast("timestamp").alias("snapshot_ts"),
+        F.date_format("month", "yyyy-MM").alias("run_id"),
+    )
+
+
+def _headline(spark: SparkSession, folder: str) -> DataFrame:
+    return metrics.headline_metrics(spark, _tables(spark, folder), rounding=FINE)
+
+
+def _previous(spark: SparkSession, folder: str) -> DataFrame:
+    history = monthly_history(_tables(spark, folder)("revenue_trends"))
+    return metrics.metrics_previous(history, CURRENT_RUN)
+
+
+def _drift(spark: SparkSession, folder: str) -> DataFrame:
+    history = monthly_history(_tables(spark, folder)("revenue_trends"))
+    current = history.where(F.col("run_id") == CURRENT_RUN)
+    drift = metrics.metrics_drift(current, metrics.metrics_previous(history, CURRENT_RUN))
+    return drift.withColumn("change_pct", F.round("change_pct", 6))
+
+
+def _alerts(spark: SparkSession, folder: str) -> DataFrame:
+    alerts = metrics.standard_alerts(F.lit(NOW))
+    return metrics.alert_eval(_tables(spark, folder), alerts, rounding=FINE)
+
+
+def _transitions(spark: SparkSession, folder: str) -> DataFrame:
+    share = F.col("delivered_pct")
+    evaluations = _tables(spark, folder)("revenue_trends").select(
+        F.lit("delivered_share_low").alias("alert_name"),
+        F.col("month").alias("evaluated_at"),
+        share.alias("value"),
+        metrics.COMPARE["LESS_THAN"](share, 33.0).alias("breached"),
+    )
+    return metrics.alert_transitions(evaluations)
+
+
+def _report(name: str) -> Query:
+    return lambda spark, folder: reports.report(name, spark, _tables(spark, folder), rounding=FINE)
+
+
 def registered_queries() -> dict[str, Query]:
     found: dict[str, Query] = {f"silver_{s.typed}": _typed(raw) for raw, s in SOURCES.items()}
     found["bronze_validation_log"] = _raw_report(rules.validation_log)
@@ -66,6 +160,20 @@ def registered_queries() -> dict[str, Query]:
     found["silver_rejects_by_rule"] = _raw_report(rules.rejects_by_rule)
     found.update({name: _derived(name) for name in gold.BUILDERS})
     found["rfm_scores"] = _rfm_scores
+    found["profile_tables"] = lambda spark, folder: audit.profile_tables(
+        SampleStar(spark, folder).sample_tables())
+    found["profile_star"] = lambda spark, folder: audit.profile_tables(SampleStar(spark, folder).star())
+    for kind in audit.SEVERITY:
+        found[f"audit_{kind.lower().replace('-', '_')}"] = _audited(kind)
+    found["audit_model"] = _audited()
+    found["audit_summary"] = _audited(summary=True)
+    found["audit_sample_tables"] = _audit_sample_tables
+    found["headline_metrics"] = _headline
+    found["metrics_previous"] = _previous
+    found["metrics_drift"] = _drift
+    found["alert_eval"] = _alerts
+    found["alert_transitions"] = _transitions
+    found.update({f"report_{name}": _report(name) for name in reports.REPORT_NAMES})
     return found
 
 

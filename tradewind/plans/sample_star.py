@@ -8,12 +8,19 @@ carry planted faults, placed by key, for the validation operators.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 c = F.col
 
+# The sample tables.
+SAMPLE_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+
 
 def _text(column: str) -> Column:
     return c(column).cast("string")
@@ -62,6 +69,10 @@ class SampleStar:
             self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._read[name]
 
+    def sample_tables(self) -> Mapping[str, DataFrame]:
+        """The sample tables as they are."""
+        return OnDemand({name: partial(self.table, name) for name in SAMPLE_TABLES})
+
     # -- typed star ---------------------------------------------------------
 
     def dim_customer(self) -> DataFrame:
@@ -267,83 +278,83 @@ class SampleStar:
 
     def raw_customers(self) -> DataFrame:
         return self.table("customer").select(
-        F.when(_every("c_custkey", 97), " ").otherwise(_text("c_custkey")).alias("customer_id"),
-        F.when(_every("c_custkey", 29), "2024-02-30").otherwise("2024-02-28").alias("customer_signup_date"),
-        F.when(_every("c_custkey", 7), "old")
-        .otherwise((18 + c("c_custkey") % 60).cast("double").cast("string")).alias("age"),
+            F.when(_every("c_custkey", 97), " ").otherwise(_text("c_custkey")).alias("customer_id"),
+            F.when(_every("c_custkey", 29), "2024-02-30").otherwise("2024-02-28").alias("customer_signup_date"),
+            F.when(_every("c_custkey", 7), "old")
+            .otherwise((18 + c("c_custkey") % 60).cast("double").cast("string")).alias("age"),
         )
 
     def raw_products(self) -> DataFrame:
         return self.table("part").select(
-        F.when(_every("p_partkey", 97), "").otherwise(_text("p_partkey")).alias("product_id"),
-        F.when(_every("p_partkey", 13), "-1").when(_every("p_partkey", 11), "n/a")
-        .otherwise(_text("p_retailprice")).alias("price"),
-        F.when(~_every("p_partkey", 17), "400.5").alias("cost_price"),
+            F.when(_every("p_partkey", 97), "").otherwise(_text("p_partkey")).alias("product_id"),
+            F.when(_every("p_partkey", 13), "-1").when(_every("p_partkey", 11), "n/a")
+            .otherwise(_text("p_retailprice")).alias("price"),
+            F.when(~_every("p_partkey", 17), "400.5").alias("cost_price"),
         )
 
     def raw_marketing_campaigns(self) -> DataFrame:
         return self.table("supplier").select(
-        F.when(~_every("s_suppkey", 9), _text("s_suppkey")).alias("campaign_id"),
-        F.when(_every("s_suppkey", 4), "many")
-        .otherwise((c("s_suppkey") * 3).cast("string")).alias("clicks"),
-        _text("s_acctbal").alias("campaign_cost"),
+            F.when(~_every("s_suppkey", 9), _text("s_suppkey")).alias("campaign_id"),
+            F.when(_every("s_suppkey", 4), "many")
+            .otherwise((c("s_suppkey") * 3).cast("string")).alias("clicks"),
+            _text("s_acctbal").alias("campaign_cost"),
         )
 
     def raw_orders(self) -> DataFrame:
         return self.table("orders").select(
-        F.when(_every("o_orderkey", 97), "  ")
-        .when(~_every("o_orderkey", 101), _text("o_orderkey")).alias("order_id"),
-        F.when(_every("o_orderkey", 103), "").otherwise(_text("o_custkey")).alias("customer_id"),
-        F.when(_every("o_orderkey", 89), "not-a-date").when(_every("o_orderkey", 83), "2999-01-01")
-        .otherwise(c("o_orderdate").cast("date").cast("string")).alias("order_date"),
-        F.when(c("o_orderkey") % 5 == 1, "25:61:00")
-        .when(~_every("o_orderkey", 5), "09:08:07").alias("order_time"),
-        F.when(_every("o_orderkey", 79), "-5").when(_every("o_orderkey", 73), "abc")
-        .when(~_every("o_orderkey", 71), _text("o_totalprice")).alias("final_amount"),
-        F.when(_every("o_orderkey", 67), "101")
-        .otherwise((c("o_orderkey") % 31).cast("string")).alias("discount_percentage"),
-        F.when(_every("o_orderkey", 2), "").otherwise("C1").alias("coupon_code"),
+            F.when(_every("o_orderkey", 97), "  ")
+            .when(~_every("o_orderkey", 101), _text("o_orderkey")).alias("order_id"),
+            F.when(_every("o_orderkey", 103), "").otherwise(_text("o_custkey")).alias("customer_id"),
+            F.when(_every("o_orderkey", 89), "not-a-date").when(_every("o_orderkey", 83), "2999-01-01")
+            .otherwise(c("o_orderdate").cast("date").cast("string")).alias("order_date"),
+            F.when(c("o_orderkey") % 5 == 1, "25:61:00")
+            .when(~_every("o_orderkey", 5), "09:08:07").alias("order_time"),
+            F.when(_every("o_orderkey", 79), "-5").when(_every("o_orderkey", 73), "abc")
+            .when(~_every("o_orderkey", 71), _text("o_totalprice")).alias("final_amount"),
+            F.when(_every("o_orderkey", 67), "101")
+            .otherwise((c("o_orderkey") % 31).cast("string")).alias("discount_percentage"),
+            F.when(_every("o_orderkey", 2), "").otherwise("C1").alias("coupon_code"),
         )
 
     def raw_order_items(self) -> DataFrame:
         return self.table("lineitem").select(
-        F.concat(_text("l_orderkey"), F.lit("-"), _text("l_linenumber")).alias("order_item_id"),
-        F.when(_every("l_orderkey", 61), " ").otherwise(_text("l_orderkey")).alias("order_id"),
-        _text("l_partkey").alias("product_id"),
-        F.when(_every("l_partkey", 23), "0").when(_every("l_partkey", 19), "two")
-        .otherwise(c("l_quantity").cast("int").cast("string")).alias("quantity"),
-        F.when(_every("l_partkey", 37), "-0.5").otherwise("12.5").alias("unit_price"),
+            F.concat(_text("l_orderkey"), F.lit("-"), _text("l_linenumber")).alias("order_item_id"),
+            F.when(_every("l_orderkey", 61), " ").otherwise(_text("l_orderkey")).alias("order_id"),
+            _text("l_partkey").alias("product_id"),
+            F.when(_every("l_partkey", 23), "0").when(_every("l_partkey", 19), "two")
+            .otherwise(c("l_quantity").cast("int").cast("string")).alias("quantity"),
+            F.when(_every("l_partkey", 37), "-0.5").otherwise("12.5").alias("unit_price"),
         )
 
     def raw_payments(self) -> DataFrame:
         return self.table("orders").select(
-        F.when(~_every("o_orderkey", 47), _text("o_orderkey")).alias("payment_id"),
-        F.when(_every("o_orderkey", 43), " ").otherwise(_text("o_orderkey")).alias("order_id"),
-        F.when(_every("o_orderkey", 41), "-1").otherwise(_text("o_totalprice")).alias("amount_paid"),
+            F.when(~_every("o_orderkey", 47), _text("o_orderkey")).alias("payment_id"),
+            F.when(_every("o_orderkey", 43), " ").otherwise(_text("o_orderkey")).alias("order_id"),
+            F.when(_every("o_orderkey", 41), "-1").otherwise(_text("o_totalprice")).alias("amount_paid"),
         )
 
     def raw_shipments(self) -> DataFrame:
         return self.table("orders").select(
-        F.when(_every("o_orderkey", 59), "").otherwise(_text("o_orderkey")).alias("shipment_id"),
-        _text("o_orderkey").alias("order_id"),
-        F.when(_every("o_orderkey", 3), None).when(_every("o_orderkey", 53), "-2")
-        .when(_every("o_orderkey", 31), "soon").otherwise("4.5").alias("delivery_days"),
-        F.when(~_every("o_orderkey", 11), (c("o_orderkey") % 2).cast("string")).alias("delayed_flag"),
+            F.when(_every("o_orderkey", 59), "").otherwise(_text("o_orderkey")).alias("shipment_id"),
+            _text("o_orderkey").alias("order_id"),
+            F.when(_every("o_orderkey", 3), None).when(_every("o_orderkey", 53), "-2")
+            .when(_every("o_orderkey", 31), "soon").otherwise("4.5").alias("delivery_days"),
+            F.when(~_every("o_orderkey", 11), (c("o_orderkey") % 2).cast("string")).alias("delayed_flag"),
         )
 
     def raw_returns(self) -> DataFrame:
         return self.table("orders").where(c("o_orderstatus") == "F").select(
-        F.when(_every("o_orderkey", 59), "").otherwise(_text("o_orderkey")).alias("return_id"),
-        F.when(~_every("o_orderkey", 37), _text("o_orderkey")).alias("order_id"),
-        F.when(_every("o_orderkey", 4), None).when(_every("o_orderkey", 29), "-9.5")
-        .otherwise(_text("o_totalprice")).alias("refund_amount"),
+            F.when(_every("o_orderkey", 59), "").otherwise(_text("o_orderkey")).alias("return_id"),
+            F.when(~_every("o_orderkey", 37), _text("o_orderkey")).alias("order_id"),
+            F.when(_every("o_orderkey", 4), None).when(_every("o_orderkey", 29), "-9.5")
+            .otherwise(_text("o_totalprice")).alias("refund_amount"),
         )
 
     def raw_customer_reviews(self) -> DataFrame:
         return self.table("events").select(
-        F.when(_every("event_id", 59), "").otherwise(_text("event_id")).alias("review_id"),
-        F.when(~_every("event_id", 37), _text("event_id")).alias("order_id"),
-        F.when(_every("event_id", 31), "five")
-        .otherwise((c("event_id") % 7).cast("string")).alias("rating"),
-        _case(c("event_id") % 4, {0: "true", 1: "false", 2: "1"}, "maybe").alias("verified_purchase"),
+            F.when(_every("event_id", 59), "").otherwise(_text("event_id")).alias("review_id"),
+            F.when(~_every("event_id", 37), _text("event_id")).alias("order_id"),
+            F.when(_every("event_id", 31), "five")
+            .otherwise((c("event_id") % 7).cast("string")).alias("rating"),
+            _case(c("event_id") % 4, {0: "true", 1: "false", 2: "1"}, "maybe").alias("verified_purchase"),
         )
