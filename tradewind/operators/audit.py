@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import combinations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.functions.ledger import stack_sources, with_keys
+from tradewind.functions.ledger import rows_from_columns, stack_sources, with_keys
 from tradewind.functions.measures import rows
 from tradewind.operators.quality import key_safety
 
@@ -159,59 +159,72 @@ class ColumnProfile:
         return self.distinct < self.rows
 
 
-# Relative error of the distinct sketch, and the share of rows from which a column is
-# counted exactly: six standard errors below the smallest share that decides a finding.
-SKETCH_ERROR = 0.02
+# Size of the distinct sketch (log2 of its slots; standard error 1.6 %), and the share of
+# rows from which a column is counted exactly: more than six standard errors below the
+# smallest share that decides a finding.
+SKETCH_LOG_SLOTS = 12
 EXACT_FROM = 0.75
 
 
-def decisive_profile(tables: Mapping[str, DataFrame]) -> list[ColumnProfile]:
-    """Profile for the rules: sketches first, exact counts only where they decide.
+def _sketched_counts(table: str, frame: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    """(table_name, column_name, rows, non_null, distinct) with sketched distinct counts.
 
-    One pass per table gives row, non-null and sketched distinct counts without shuffling
-    values. Columns that may be keys (distinct near rows) or constants (distinct near 1)
-    are then counted exactly; the sketch settles all others. Only these counts, one line
-    per column, come to the driver.
+    One pass that shuffles one small sketch per column and task, never values.
     """
-    sketched: dict[str, tuple[int, dict[str, tuple[int, int]]]] = {}
-    exact_parts = []
-    for table, frame in tables.items():
-        measures = [rows().alias("_rows")]
-        for i, f in enumerate(frame.schema.fields):
-            value = F.col(f"`{f.name}`")
-            # Sketches take the fingerprint where the type itself is not hashable.
-            hashed = fingerprint(f) if isinstance(f.dataType, T.MapType) else value
-            measures += [
-                F.count(value).alias(f"_n{i}"),
-                F.approx_count_distinct(hashed, SKETCH_ERROR).alias(f"_d{i}"),
-            ]
-        got = frame.agg(*measures).first()
-        total = got["_rows"]
-        sketched[table] = (total, {
-            f.name: (got[f"_n{i}"], got[f"_d{i}"]) for i, f in enumerate(frame.schema.fields)
-        })
-        deciding = [
-            f for f in frame.schema.fields
-            if (lambda d: d <= 3 or d >= EXACT_FROM * total)(sketched[table][1][f.name][1])
+    measures = [rows().alias("_rows")]
+    for i, f in enumerate(fields):
+        sketch = F.hll_sketch_agg(fingerprint(f), SKETCH_LOG_SLOTS)
+        measures += [
+            F.count(F.col(f"`{f.name}`")).alias(f"_n{i}"),
+            F.hll_sketch_estimate(sketch).alias(f"_d{i}"),
         ]
-        if total and deciding:
-            exact_parts.append(_column_counts(table, frame, deciding))
-    exact = {}
-    if exact_parts:
-        for row in reduce(DataFrame.unionByName, exact_parts).collect():
-            exact[row["table_name"], row["column_name"]] = row["distinct"]
-    profile = []
+    return rows_from_columns(frame.agg(*measures), "column_name", [
+        (f.name, {
+            "rows": F.col("_rows"), "non_null": F.col(f"_n{i}"), "distinct": F.col(f"_d{i}"),
+        })
+        for i, f in enumerate(fields)
+    ]).withColumn("table_name", F.lit(table))
+
+
+def decisive_profile(
+    tables: Mapping[str, DataFrame], wanted: Callable[[str], bool] = lambda column: True
+) -> list[ColumnProfile]:
+    """Profile of the wanted columns: sketches first, exact counts only where they decide.
+
+    Columns that may be keys (distinct near rows) or constants (distinct near 1) are
+    counted exactly in a second pass; the sketch settles all others. Only these counts,
+    one line per column, come to the driver.
+    """
+    fields = {t: [f for f in frame.schema.fields if wanted(f.name)] for t, frame in tables.items()}
+    sketches = [_sketched_counts(t, tables[t], listed) for t, listed in fields.items() if listed]
+    guessed = {
+        (r["table_name"], r["column_name"]): r
+        for r in (reduce(DataFrame.unionByName, sketches).collect() if sketches else [])
+    }
+
+    def decides(table: str, column: str) -> bool:
+        row = guessed[table, column]
+        return row["rows"] > 0 and (row["distinct"] <= 3 or row["distinct"] >= EXACT_FROM * row["rows"])
+
+    parts = []
     for table, frame in tables.items():
-        total, columns = sketched[table]
-        for f in frame.schema.fields:
-            non_null, guess = columns[f.name]
-            known = exact.get((table, f.name))
-            is_exact = known is not None or total == 0
-            profile.append(ColumnProfile(
-                table, f.name, type_name(f.dataType), total, non_null,
-                known if known is not None else guess, is_exact,
-            ))
-    return profile
+        deciding = [f for f in fields[table] if decides(table, f.name)]
+        if deciding:
+            parts.append(_column_counts(table, frame, deciding))
+    exact = {
+        (r["table_name"], r["column_name"]): r["distinct"]
+        for r in (reduce(DataFrame.unionByName, parts).collect() if parts else [])
+    }
+    return [
+        ColumnProfile(
+            table, f.name, type_name(f.dataType),
+            guessed[table, f.name]["rows"], guessed[table, f.name]["non_null"],
+            exact.get((table, f.name), guessed[table, f.name]["distinct"]),
+            (table, f.name) in exact or guessed[table, f.name]["rows"] == 0,
+        )
+        for table in tables
+        for f in fields[table]
+    ]
 
 
 # -- findings ------------------------------------------------------------------------------
@@ -224,6 +237,7 @@ class Audit:
     as_of: Column
     patterns: Patterns = Patterns()
     fk_map: Mapping[tuple[str, str], tuple[str, str]] | None = None
+    ids_only: bool = False
     _cache: dict = field(default_factory=dict)
 
     @property
@@ -232,7 +246,8 @@ class Audit:
 
     def profile(self) -> list[ColumnProfile]:
         if "profile" not in self._cache:
-            self._cache["profile"] = decisive_profile(self.tables)
+            wanted = self.patterns.is_id if self.ids_only else lambda column: True
+            self._cache["profile"] = decisive_profile(self.tables, wanted)
         return self._cache["profile"]
 
     def of(self, table: str) -> list[ColumnProfile]:
@@ -408,6 +423,8 @@ def _values(audit: Audit, kinds: set[str]) -> list[DataFrame]:
     return parts
 
 
+# Kinds that look at every column; the others need the profile of id columns only.
+WHOLE_ROW_KINDS = {"PK", "NO-PK", "CONSTANT", "NULLS"}
 PROFILE_KINDS = {"PK", "NO-PK", "CONSTANT", "NULLS", "NEAR-KEY", "CARTESIAN"}
 VALUE_KINDS = {"NEGATIVE", "RANGE", "FUTURE"}
 
@@ -435,7 +452,7 @@ def audit_model(
     unknown = wanted - set(SEVERITY)
     if unknown:
         raise ValueError(f"unknown kinds of finding: {sorted(unknown)}")
-    audit = Audit(dict(tables), as_of, patterns, fk_map)
+    audit = Audit(dict(tables), as_of, patterns, fk_map, ids_only=not wanted & WHOLE_ROW_KINDS)
     parts: list[DataFrame] = []
     if wanted & PROFILE_KINDS:
         parts.append(_from_profile(audit, wanted))
