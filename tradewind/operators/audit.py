@@ -65,46 +65,70 @@ def type_name(data_type: T.DataType) -> str:
     return data_type.simpleString().split("(")[0].split("<")[0]
 
 
-def fingerprint(field_: T.StructField) -> Column:
-    """A string equal for equal values and different for different ones; NULL for NULL.
+def comparable(field_: T.StructField) -> Column:
+    """The value as a string that is equal exactly when the values are; NULL for NULL.
 
-    Long text is replaced by its SHA-256, so that counting distinct documents does not
-    shuffle the documents. Adding 0.0 makes -0.0 the same as 0.0.
+    Nested values become JSON, and long text its SHA-256, so that counting distinct
+    documents does not shuffle the documents.
     """
     value = F.col(f"`{field_.name}`")
-    if isinstance(field_.dataType, (T.FloatType, T.DoubleType)):
-        return (value + F.lit(0.0).cast(field_.dataType)).cast("string")
-    if isinstance(field_.dataType, T.BinaryType):
-        text = F.hex(value)
-    elif isinstance(field_.dataType, (T.MapType, T.StructType, T.ArrayType)):
+    if isinstance(field_.dataType, (T.MapType, T.StructType, T.ArrayType)):
         text = F.to_json(value)
+    elif isinstance(field_.dataType, T.BinaryType):
+        text = F.hex(value)
+    elif isinstance(field_.dataType, T.StringType):
+        text = value
     else:
-        text = value.cast("string")
+        return value.cast("string")
     return F.when(F.length(text) > 64, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(text)
 
 
+def _shuffled_as(field_: T.StructField) -> str:
+    """Numbers are compared as numbers, everything else as its `comparable` string."""
+    if isinstance(field_.dataType, T.IntegralType):
+        return "bigint"
+    if isinstance(field_.dataType, T.FractionalType) and not isinstance(field_.dataType, T.DecimalType):
+        return "double"
+    return "string"
+
+
 def _column_counts(table: str, frame: DataFrame, columns: Sequence[T.StructField]) -> DataFrame:
     """(table_name, column_name, rows, non_null, distinct) with exact counts.
 
-    Rows are unpivoted to (column, value) and counted twice: first per value - combined
-    map-side, so frequent values shrink before the shuffle - then per column.
+    Columns of one kind are unpivoted together to (column, value) and counted twice: first
+    per value - combined map-side, so frequent values shrink before the shuffle - then per
+    column. At most three scans per table, each of its own columns, and numbers stay numbers.
     """
-    cells = F.array(*[
-        F.struct(F.lit(f.name).alias("column_name"), fingerprint(f).alias("_value")) for f in columns
-    ])
-    return (
-        frame.select(F.explode(cells).alias("_cell"))
-        .select("_cell.*")
-        .groupBy("column_name", "_value")
-        .agg(rows().alias("_n"))
-        .groupBy("column_name")
-        .agg(
-            F.sum("_n").alias("rows"),
-            F.coalesce(F.sum(F.when(F.col("_value").isNotNull(), F.col("_n"))), F.lit(0)).alias("non_null"),
-            F.count("_value").alias("distinct"),
+    parts = []
+    for kind in ("bigint", "double", "string"):
+        fields = [f for f in columns if _shuffled_as(f) == kind]
+        if not fields:
+            continue
+        values = [
+            (comparable(f) if kind == "string" else F.col(f"`{f.name}`").cast(kind)).alias(f"_{i}")
+            for i, f in enumerate(fields)
+        ]
+        names = F.array(*[F.lit(f.name) for f in fields])
+        parts.append(
+            frame.select(*values)
+            .unpivot([], [f"_{i}" for i in range(len(fields))], "_column", "_value")
+            .groupBy("_column", "_value")
+            .agg(rows().alias("_n"))
+            .groupBy("_column")
+            .agg(
+                F.sum("_n").alias("rows"),
+                F.coalesce(F.sum(F.when(F.col("_value").isNotNull(), F.col("_n"))), F.lit(0)).alias("non_null"),
+                F.count("_value").alias("distinct"),
+            )
+            .select(
+                F.lit(table).alias("table_name"),
+                F.element_at(names, F.substring("_column", 2, 9).cast("int") + 1).alias("column_name"),
+                "rows",
+                "non_null",
+                "distinct",
+            )
         )
-        .withColumn("table_name", F.lit(table))
-    )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _declared(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -126,17 +150,11 @@ def profile_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
         DataFrame.unionByName,
         [_column_counts(t, frame, frame.schema.fields) for t, frame in tables.items()],
     )
-    zero = F.lit(0).cast("long")
+    measures = [F.coalesce(F.col(m), F.lit(0)).alias(m) for m in ("rows", "non_null", "distinct")]
     return (
         _declared(spark, tables)
         .join(counted, ["table_name", "column_name"], "left")
-        .select(
-            "table_name",
-            "column_name",
-            "position",
-            "data_type",
-            *[F.coalesce(F.col(m), zero).alias(m) for m in ("rows", "non_null", "distinct")],
-        )
+        .select("table_name", "column_name", "position", "data_type", *measures)
     )
 
 
@@ -173,10 +191,11 @@ def _sketched_counts(table: str, frame: DataFrame, fields: Sequence[T.StructFiel
     """
     measures = [rows().alias("_rows")]
     for i, f in enumerate(fields):
-        sketch = F.hll_sketch_agg(fingerprint(f), SKETCH_LOG_SLOTS)
+        value = F.col(f"`{f.name}`")
+        hashed = F.xxhash64(comparable(f) if isinstance(f.dataType, T.MapType) else value)
+        sketch = F.hll_sketch_agg(F.when(value.isNotNull(), hashed), SKETCH_LOG_SLOTS)
         measures += [
-            F.count(F.col(f"`{f.name}`")).alias(f"_n{i}"),
-            F.hll_sketch_estimate(sketch).alias(f"_d{i}"),
+            F.count(value).alias(f"_n{i}"), F.hll_sketch_estimate(sketch).alias(f"_d{i}"),
         ]
     return rows_from_columns(frame.agg(*measures), "column_name", [
         (f.name, {
@@ -336,45 +355,58 @@ def _fanout(audit: Audit) -> list[DataFrame]:
     return parts
 
 
-def orphan_count(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
-    """Rows of the child, those with a value, and those whose value no parent row has.
+def orphan_counts(
+    children: Sequence[tuple[str, str, DataFrame]], parent: DataFrame, key: str
+) -> DataFrame:
+    """Rows of each child column, and those whose value no parent row has.
 
-    Both sides meet in one ledger by value: a value with very many child rows reaches its
-    reducer as one row per map task.
+    All children of one parent meet it in one ledger by value: the parent is shuffled once,
+    and a value with very many child rows reaches its reducer as one row per map task.
     """
     one = F.lit(1).cast("long")
-    children = child.select(F.col(column).alias("_key"))
-    parents = parent.select(F.col(key).alias("_key"))
-    return (
-        stack_sources(
-            [(children, {"_child": one}), (with_keys(parents, ["_key"]), {"_parent": one})], ["_key"]
-        )
+    known = with_keys(parent.select(F.col(f"`{key}`").alias("_key")), ["_key"])
+    sources = [(known, {"_parent": one})] + [
+        (frame.select(F.col(f"`{column}`").alias("_key")), {f"_{i}": one})
+        for i, (_, column, frame) in enumerate(children)
+    ]
+    every = range(len(children))
+    orphan = F.col("_key").isNotNull() & F.col("_parent").isNull()
+    totals = (
+        stack_sources(sources, ["_key"])
         .groupBy("_key")
-        .agg(F.sum("_child").alias("_child"), F.max("_parent").alias("_parent"))
+        .agg(F.max("_parent").alias("_parent"), *[F.sum(f"_{i}").alias(f"_{i}") for i in every])
         .agg(
-            F.coalesce(F.sum("_child"), F.lit(0)).alias("total_rows"),
-            F.coalesce(
-                F.sum(F.when(F.col("_key").isNotNull() & F.col("_parent").isNull(), F.col("_child"))),
-                F.lit(0),
-            ).alias("affected_rows"),
+            *[F.coalesce(F.sum(f"_{i}"), F.lit(0)).alias(f"_all{i}") for i in every],
+            *[F.coalesce(F.sum(F.when(orphan, F.col(f"_{i}"))), F.lit(0)).alias(f"_lost{i}") for i in every],
         )
     )
+    return rows_from_columns(totals, "table_name", [
+        (table, {
+            "column_name": F.lit(column),
+            "affected_rows": F.col(f"_lost{i}"),
+            "total_rows": F.col(f"_all{i}"),
+        })
+        for i, (table, column, _) in enumerate(children)
+    ])
 
 
 def _orphans(audit: Audit) -> list[DataFrame]:
+    by_parent: dict[tuple[str, str], list[tuple[str, str, DataFrame]]] = {}
+    for t, c, pt, pc in audit.foreign_keys():
+        by_parent.setdefault((pt, pc), []).append((t, c, audit.tables[t]))
     return [
-        orphan_count(audit.tables[t], c, audit.tables[pt], pc)
+        orphan_counts(children, audit.tables[pt], pc)
         .where(F.col("affected_rows") > 0)
         .select(
             F.lit(SEVERITY["ORPHAN"]).alias("severity"),
             F.lit("ORPHAN").alias("kind"),
-            F.lit(t).alias("table_name"),
-            F.lit(c).alias("column_name"),
+            "table_name",
+            "column_name",
             "affected_rows",
             "total_rows",
             F.lit(f"no row in {pt}").alias("detail"),
         )
-        for t, c, pt, pc in audit.foreign_keys()
+        for (pt, pc), children in by_parent.items()
     ]
 
 

@@ -193,29 +193,30 @@ def data_quality(
     ).orderBy(F.desc("pct_affected"), "check_name")
 
 
-def _distinct(columns: Sequence[str]) -> Column:
-    """Distinct values of a key. A struct keeps (x, NULL) apart from (NULL, x)."""
-    return F.count_distinct(F.col(columns[0]) if len(columns) == 1 else F.struct(*columns))
-
-
 def key_safety(table: str, frame: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
     """Rows, distinct keys and their difference for each candidate key of one table.
 
-    One scan. Spark expands each row once per key and combines map-side by (key, value),
-    so a hot key value costs no more than any other.
+    Each key is counted by itself: the scan reads only its columns and the shuffle carries
+    each value once per map task, however often it occurs. Several distinct counts in one
+    aggregate would instead multiply every row by the number of keys. A value of a single
+    column must be present to count; a combination counts also with missing parts.
     """
-    counted = frame.agg(
-        rows().alias("_rows"), *[_distinct(k).alias(f"_{i}") for i, k in enumerate(keys)]
-    )
-    return rows_from_columns(counted, "table_name", [
-        (table, {
-            "candidate_key": F.lit(" + ".join(k)),
-            "rows": F.col("_rows"),
-            "distinct_keys": F.col(f"_{i}"),
-            "fanout_rows": F.col("_rows") - F.col(f"_{i}"),
-        })
-        for i, k in enumerate(keys)
-    ])
+    parts = []
+    for columns in keys:
+        present = F.col(columns[0]).isNotNull() if len(columns) == 1 else F.lit(True)
+        parts.append(
+            frame.groupBy(*columns)
+            .agg(rows().alias("_n"))
+            .agg(_total("_n").alias("rows"), F.count_if(present).alias("distinct_keys"))
+            .select(
+                F.lit(table).alias("table_name"),
+                F.lit(" + ".join(columns)).alias("candidate_key"),
+                "rows",
+                "distinct_keys",
+                (F.col("rows") - F.col("distinct_keys")).alias("fanout_rows"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def join_safety(
