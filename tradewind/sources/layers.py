@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from urllib.parse import unquote, urlparse
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,13 +15,20 @@ def table_path(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
 
 
+def _location(path: str) -> str:
+    return unquote(urlparse(path).path).rstrip("/") + "/"
+
+
 def write_table(frame: DataFrame, root: str, layer: str, table: str) -> DataFrame:
     """Replaces the table with the frame and returns the stored table.
 
     Reading back cuts the lineage at files every executor can reach, so later tables do
-    not recompute this one. Spark refuses to overwrite a path the frame itself reads.
+    not recompute this one. A frame that reads the path it would replace is refused:
+    overwriting deletes the old files before the new ones are computed.
     """
     path = table_path(root, layer, table)
+    if any(_location(f).startswith(_location(path)) for f in frame.inputFiles()):
+        raise ValueError(f"cannot overwrite {path}: the new table reads it")
     frame.write.mode("overwrite").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
