@@ -65,22 +65,31 @@ def type_name(data_type: T.DataType) -> str:
     return data_type.simpleString().split("(")[0].split("<")[0]
 
 
-def comparable(field_: T.StructField) -> Column:
-    """The value as a string that is equal exactly when the values are; NULL for NULL.
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def comparable(field_: T.StructField) -> str:
+    """SQL text of the value as a string, equal exactly when the values are; NULL for NULL.
 
     Nested values become JSON, and long text its SHA-256, so that counting distinct
-    documents does not shuffle the documents.
+    documents does not shuffle the documents. Text rather than Column objects: a wide
+    schema then costs one call per table instead of a dozen per column.
     """
-    value = F.col(f"`{field_.name}`")
+    value = quoted(field_.name)
     if isinstance(field_.dataType, (T.MapType, T.StructType, T.ArrayType)):
-        text = F.to_json(value)
+        text = f"to_json({value})"
     elif isinstance(field_.dataType, T.BinaryType):
-        text = F.hex(value)
+        text = f"hex({value})"
     elif isinstance(field_.dataType, T.StringType):
         text = value
     else:
-        return value.cast("string")
-    return F.when(F.length(text) > 64, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(text)
+        return f"CAST({value} AS STRING)"
+    return f"IF(length({text}) > 64, concat('#', sha2({text}, 256)), {text})"
 
 
 def _shuffled_as(field_: T.StructField) -> str:
@@ -105,28 +114,21 @@ def _column_counts(table: str, frame: DataFrame, columns: Sequence[T.StructField
         if not fields:
             continue
         values = [
-            (comparable(f) if kind == "string" else F.col(f"`{f.name}`").cast(kind)).alias(f"_{i}")
-            for i, f in enumerate(fields)
+            f"{comparable(f) if kind == 'string' else f'CAST({quoted(f.name)} AS {kind})'} AS {quoted(f.name)}"
+            for f in fields
         ]
-        names = F.array(*[F.lit(f.name) for f in fields])
         parts.append(
-            frame.select(*values)
-            .unpivot([], [f"_{i}" for i in range(len(fields))], "_column", "_value")
-            .groupBy("_column", "_value")
+            frame.selectExpr(*values)
+            .unpivot([], [quoted(f.name) for f in fields], "column_name", "_value")
+            .groupBy("column_name", "_value")
             .agg(rows().alias("_n"))
-            .groupBy("_column")
+            .groupBy("column_name")
             .agg(
                 F.sum("_n").alias("rows"),
-                F.coalesce(F.sum(F.when(F.col("_value").isNotNull(), F.col("_n"))), F.lit(0)).alias("non_null"),
+                F.expr("coalesce(sum(IF(_value IS NOT NULL, _n, NULL)), 0)").alias("non_null"),
                 F.count("_value").alias("distinct"),
             )
-            .select(
-                F.lit(table).alias("table_name"),
-                F.element_at(names, F.substring("_column", 2, 9).cast("int") + 1).alias("column_name"),
-                "rows",
-                "non_null",
-                "distinct",
-            )
+            .withColumn("table_name", F.lit(table))
         )
     return reduce(DataFrame.unionByName, parts)
 
@@ -189,20 +191,17 @@ def _sketched_counts(table: str, frame: DataFrame, fields: Sequence[T.StructFiel
 
     One pass that shuffles one small sketch per column and task, never values.
     """
-    measures = [rows().alias("_rows")]
+    measures = ["count(1) AS _rows"]
     for i, f in enumerate(fields):
-        value = F.col(f"`{f.name}`")
-        hashed = F.xxhash64(comparable(f) if isinstance(f.dataType, T.MapType) else value)
-        sketch = F.hll_sketch_agg(F.when(value.isNotNull(), hashed), SKETCH_LOG_SLOTS)
-        measures += [
-            F.count(value).alias(f"_n{i}"), F.hll_sketch_estimate(sketch).alias(f"_d{i}"),
-        ]
-    return rows_from_columns(frame.agg(*measures), "column_name", [
-        (f.name, {
-            "rows": F.col("_rows"), "non_null": F.col(f"_n{i}"), "distinct": F.col(f"_d{i}"),
-        })
-        for i, f in enumerate(fields)
-    ]).withColumn("table_name", F.lit(table))
+        value = quoted(f.name)
+        hashed = f"xxhash64({comparable(f) if isinstance(f.dataType, T.MapType) else value})"
+        sketch = f"hll_sketch_agg(IF({value} IS NULL, NULL, {hashed}), {SKETCH_LOG_SLOTS})"
+        measures += [f"count({value}) AS _n{i}", f"hll_sketch_estimate({sketch}) AS _d{i}"]
+    lines = ", ".join(f"{text_literal(f.name)}, _rows, _n{i}, _d{i}" for i, f in enumerate(fields))
+    return frame.selectExpr(*measures).selectExpr(
+        f"{text_literal(table)} AS table_name",
+        f"stack({len(fields)}, {lines}) AS (column_name, rows, non_null, `distinct`)",
+    )
 
 
 def decisive_profile(
