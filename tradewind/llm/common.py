@@ -16,6 +16,7 @@ from tradewind.session import ensure_checkpoint_dir
 
 # The white space that separates words: U+0020 and U+0009 to U+000D. Fixed value.
 SPACE = r"[\x20\x09-\x0D]+"
+SPACES = " \t\n\x0b\x0c\r"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
 
 # Rows of a key table (a few longs each, so some megabytes) that may be broadcast.
@@ -43,7 +44,20 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str]) -
 
 def words(text: Column) -> Column:
     """Words of a text in order; a null text has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
+
+
+def once(frame: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that are computed once per row, whatever refers to them later.
+
+    Projections that follow one another are merged by the optimizer, and a filter moves below
+    them, so a costly array would be built again for each reference. It does not look through
+    a generator: each value comes out of an array of one.
+    """
+    packed = F.struct(*[c.alias(n) for n, c in columns.items()])
+    one = frame.select("*", F.explode(F.array(packed)).alias("_once"))
+    return one.select("*", *[F.col(f"_once.{n}").alias(n) for n in columns]).drop("_once")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

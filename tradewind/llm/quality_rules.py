@@ -15,14 +15,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import NOT_SPACE, words
+from tradewind.llm.common import NOT_SPACE, once, words
 
 # The rows of the sample on which costs and selectivities are estimated.
 SAMPLE_ROWS = 2_000
 WINDOW = 5
 # The symbols that are counted, and the limits of the base rules.
 SYMBOLS = "#*$%&|<>"
-SPACES = " \t\n\x0b\x0c\r"
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
@@ -44,21 +43,23 @@ def n_words() -> Column:
 
 
 def word_chars() -> Column:
-    return F.length(F.translate(_text(), SPACES, "")).cast("long")
+    return F.length(F.array_join("_words", "")).cast("long")
 
 
 def n_symbols() -> Column:
-    text = _text()
-    return (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long")
+    # Plain byte searches; each symbol is one byte.
+    left = _text()
+    for symbol in SYMBOLS:
+        left = F.replace(left, F.lit(symbol), F.lit(""))
+    return (F.octet_length(_text()) - F.octet_length(left)).cast("long")
 
 
 def _lines() -> Column:
     return F.filter(F.split(_text(), "\n"), lambda line: line.rlike(NOT_SPACE))
 
 
-def n_upper() -> Column:
-    text = _text()
-    return (F.length(text) - F.length(F.regexp_replace(text, r"\p{Lu}", ""))).cast("long")
+def n_upper_words() -> Column:
+    return F.size(F.filter("_words", lambda w: (w == F.upper(w)) & (w != F.lower(w)))).cast("long")
 
 
 def n_letter_words() -> Column:
@@ -69,7 +70,7 @@ def default_rules() -> list[Rule]:
     """Rules beyond the base. The limits are wide: ordinary prose is far from all of them."""
     return [
         Rule("symbols", 100 * n_symbols() > 25 * n_words()),
-        Rule("shouting", 100 * n_upper() > 50 * word_chars()),
+        Rule("shouting", 100 * n_upper_words() > 50 * n_words()),
         Rule("word_length", (word_chars() < 2 * n_words()) | (word_chars() > 25 * n_words())),
         Rule("no_letters", 100 * n_letter_words() < 60 * n_words()),
         Rule("same_lines", F.size(F.array_distinct(_lines())) * 100 < 50 * F.size(_lines())),
@@ -129,12 +130,12 @@ def _repeat_columns(frame: DataFrame) -> DataFrame:
     in order, cover min(5, distance to the next) words each.
     """
     size = F.size("_words")
-    starts = F.when(size >= WINDOW, F.sequence(F.lit(1), size - (WINDOW - 1))).otherwise(
+    starts = F.when(size >= WINDOW, F.sequence(F.lit(0), size - WINDOW)).otherwise(
         F.array().cast("array<int>"))
-    hashed = frame.withColumn("_hashes", F.transform(
-        starts, lambda i: F.xxhash64(*[F.element_at("_words", i + k) for k in range(WINDOW)])))
+    frame = once(frame, _hashes=F.transform(
+        starts, lambda i: F.xxhash64(*[F.get("_words", i + k) for k in range(WINDOW)])))
     repeats = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
-    sorted_pairs = hashed.withColumn("_pairs", F.when(repeats, F.array_sort(F.transform(
+    frame = once(frame, _pairs=F.when(repeats, F.sort_array(F.transform(
         "_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
 
     def place(pair, i):
@@ -145,7 +146,7 @@ def _repeat_columns(frame: DataFrame) -> DataFrame:
         again = F.coalesce(here == before, F.lit(False)) | F.coalesce(here == after, F.lit(False))
         return F.when(again, pair.getField("i"))
 
-    placed = sorted_pairs.withColumn("_places", F.array_sort(F.array_compact(F.transform("_pairs", place))))
+    frame = once(frame, _places=F.sort_array(F.array_compact(F.transform("_pairs", place))))
     covered = F.aggregate(
         "_places",
         F.struct(F.lit(0).cast("long").alias("n"), F.lit(-WINDOW).alias("end")),
@@ -153,7 +154,7 @@ def _repeat_columns(frame: DataFrame) -> DataFrame:
             (acc.getField("n") + F.least(F.lit(WINDOW), p - acc.getField("end"))).alias("n"), p.alias("end")),
         lambda acc: acc.getField("n"),
     )
-    return placed.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop(
+    return once(frame, n_repeat_words=F.coalesce(covered, F.lit(0)).cast("long")).drop(
         "_hashes", "_pairs", "_places")
 
 
@@ -171,12 +172,10 @@ def quality_report(
     is not kept; repeated rows are judged separately; a null doc_id is passed on.
     """
     asked = ordered_rules(rules or default_rules(), estimate_rules(docs, rules or default_rules(), sample_rows))
-    frame = docs.select("doc_id", "text").withColumn("_words", words(F.col("text")))
-    frame = _repeat_columns(frame)
-    frame = frame.select(
-        "doc_id", "text", "_words", "n_repeat_words", n_words().alias("n_words"), word_chars().alias("word_chars"),
-        n_symbols().alias("n_symbols"),
-        (F.size(_lines()) - F.size(F.array_distinct(_lines()))).cast("long").alias("n_dup_lines"))
+    frame = _repeat_columns(once(docs.select("doc_id", "text"), _words=words(F.col("text"))))
+    frame = once(
+        frame, n_words=n_words(), word_chars=word_chars(), n_symbols=n_symbols(), _lines=_lines())
+    frame = once(frame, n_dup_lines=(F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
     return frame.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed().alias("base_failed"),
@@ -192,7 +191,7 @@ def keep_good(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     rules = default_rules()
     asked = ordered_rules(rules, estimate_rules(docs, rules, sample_rows))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    frame = docs.select(row.alias("_row"), F.col("text"), words(F.col("text")).alias("_words"))
+    frame = once(docs.select(row.alias("_row"), F.col("text")), _words=words(F.col("text")))
     frame = frame.where(F.when(n_words() < MIN_WORDS, F.lit(False)).otherwise(cascade(asked)))
     frame = _repeat_columns(frame).where(
         100 * F.col("n_repeat_words") <= MAX_REPEAT_PERCENT * n_words())
@@ -219,14 +218,14 @@ WITH d AS (
     CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
     CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
-    length(text) - length(regexp_replace(text, '\p{Lu}', '', 'g')) AS n_upper,
+    len(list_filter(words, lambda x: x = upper(x) AND x <> lower(x))) AS n_upper,
     len(list_filter(words, lambda x: regexp_matches(x, '\p{L}'))) AS n_letter
   FROM w LEFT JOIN covered USING (r)
 ), b AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM s
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT (base_failed OR 100 * n_symbols > 25 * n_words OR 100 * n_upper > 50 * word_chars
+  NOT (base_failed OR 100 * n_symbols > 25 * n_words OR 100 * n_upper > 50 * n_words
     OR word_chars < 2 * n_words OR word_chars > 25 * n_words OR 100 * n_letter < 60 * n_words
     OR 100 * len(list_distinct(lines)) < 50 * len(lines)) AS kept
 FROM b

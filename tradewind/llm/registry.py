@@ -7,12 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import archives, mixing, mixing_sql, quality_rules
+from tradewind.llm import archives, decontaminate, mixing, mixing_sql, quality_rules, set_join, token_files
 from tradewind.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.shingle_classes(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return token_files.tokens_of(docs, tokenizer_file()).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
@@ -21,6 +36,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.archive_pages(table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(
+        table(spark, sf_dir, "documents", ["doc_id", "text"]), table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", ["doc_id", "source", "text"])
     return mixing.fair_mix(mixing.document_sizes(docs)).select(
@@ -28,8 +48,8 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_quality_rules, op5_warc, op10_mix_sources)}
+    return {f.__name__: f for f in (op2_jaccard_join, op3_token_files, op4_quality_rules, op5_warc, op8_decontaminate, op10_mix_sources)}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op5_warc": archives.ORACLE, "op4_quality_rules": quality_rules.ORACLE, "op10_mix_sources": mixing_sql.ORACLE}
+    return {"op8_decontaminate": decontaminate.oracle(), "op2_jaccard_join": set_join.ORACLE, "op5_warc": archives.ORACLE, "op4_quality_rules": quality_rules.ORACLE, "op10_mix_sources": mixing_sql.ORACLE}
