@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import archives, decontaminate, mixing, mixing_sql, quality_rules, set_join, token_files
+from tradewind.llm import archives, decontaminate, mixing, mixing_sql, quality_rules, secrets, set_join, token_files, toxicity
 from tradewind.llm.common import table
+from tradewind.llm.spans import digest_columns
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return digest_columns(secrets.find_secrets(docs), secrets.KINDS)
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.shingle_classes(table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
@@ -36,6 +42,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.archive_pages(table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(
+        table(spark, sf_dir, "documents", ["doc_id", "text"]), table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(
         table(spark, sf_dir, "documents", ["doc_id", "text"]), table(spark, sf_dir, "benchmark", ["item_id", "text"]))
@@ -48,7 +59,9 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_jaccard_join, op3_token_files, op4_quality_rules, op5_warc, op8_decontaminate, op10_mix_sources)}
+    return {f.__name__: f for f in (
+        op1_secrets, op2_jaccard_join, op3_token_files, op4_quality_rules, op5_warc, op7_toxicity, op8_decontaminate,
+        op10_mix_sources)}
 
 
 def llm_oracles() -> dict[str, str]:
