@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import archives, decontaminate, mixing, mixing_sql, quality_rules, secrets, set_join, token_files, toxicity
+from tradewind.llm import archives, decontaminate, mixing, mixing_sql, passages, quality_rules, secrets, set_join, token_files, toxicity
 from tradewind.llm.common import table
 from tradewind.llm.spans import digest_columns
 
@@ -52,6 +52,11 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents", ["doc_id", "text"]), table(spark, sf_dir, "benchmark", ["item_id", "text"]))
 
 
+def op9_passage_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.quality(
+        table(spark, sf_dir, "documents", ["doc_id", "text"]), table(spark, sf_dir, "labels", ["doc_id", "quality"]))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", ["doc_id", "source", "text"])
     return mixing.fair_mix(mixing.document_sizes(docs)).select(
@@ -61,7 +66,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_secrets, op2_jaccard_join, op3_token_files, op4_quality_rules, op5_warc, op7_toxicity, op8_decontaminate,
-        op10_mix_sources)}
+        op9_passage_quality, op10_mix_sources)}
 
 
 def llm_oracles() -> dict[str, str]:
