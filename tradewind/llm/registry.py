@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import archives, decontaminate, mixing, mixing_sql, passages, quality_rules, secrets, set_join, token_files, toxicity
+from tradewind.llm import archives, decontaminate, mixing, mixing_sql, passages, private, quality_rules, secrets, set_join, token_files, toxicity
 from tradewind.llm.common import table
 from tradewind.llm.spans import digest_columns
 
@@ -42,6 +42,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.archive_pages(table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
 
 
+def op6_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return digest_columns(private.find_private(docs), private.KINDS)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(
         table(spark, sf_dir, "documents", ["doc_id", "text"]), table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
@@ -65,7 +70,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_secrets, op2_jaccard_join, op3_token_files, op4_quality_rules, op5_warc, op7_toxicity, op8_decontaminate,
+        op1_secrets, op2_jaccard_join, op3_token_files, op4_quality_rules, op5_warc, op6_private_data, op7_toxicity, op8_decontaminate,
         op9_passage_quality, op10_mix_sources)}
 
 
