@@ -32,10 +32,10 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 METHOD_KINDS = tuple(f"{k}_tagged" for k in KINDS)
 
-AROUND, WINDOW, STRIDE = 40, 64, 32
+AROUND, WINDOW, STRIDE = 16, 48, 24
 TRIGGER = re.compile(r"[0-9@]")
 # The bound of the training sample: stretches of text, chosen by hash.
-TRAIN_STRETCHES = 1_200
+TRAIN_STRETCHES = 1_000
 TAGS = 1 + 2 * len(KINDS)
 CONFIDENCE = 0.8
 

@@ -72,20 +72,19 @@ class Tagger:
         both = np.concatenate([hf, hb], 2)
         scores = both @ p["O"] + p["o"]
         n, steps, k = scores.shape
-        lead, tail = np.empty((steps, n, k)), np.zeros((steps, n, k))
-        lead[0] = scores[:, 0]
+        by_time = np.ascontiguousarray(scores.transpose(1, 0, 2))
+        lead, tail = np.empty_like(by_time), np.zeros_like(by_time)
+        lead[0] = by_time[0]
         for t in range(1, steps):
-            lead[t] = scores[:, t] + _logsum(lead[t - 1][:, :, None] + p["T"], 1)
+            lead[t] = by_time[t] + _logsum(lead[t - 1][:, :, None] + p["T"], 1)
         for t in range(steps - 2, -1, -1):
-            tail[t] = _logsum(p["T"] + (scores[:, t + 1] + tail[t + 1])[:, None, :], 2)
+            tail[t] = _logsum(p["T"] + (by_time[t + 1] + tail[t + 1])[:, None, :], 2)
         total = _logsum(lead[-1], 1)
         scale = 1.0 / (n * steps)
         d_scores = np.exp((lead + tail).transpose(1, 0, 2) - total[:, None, None])
         rows, times = np.arange(n)[:, None], np.arange(steps)[None]
         d_scores[rows, times, gold] -= 1
-        d_t = np.zeros((k, k))
-        for t in range(1, steps):
-            d_t += np.exp(lead[t - 1][:, :, None] + p["T"] + (scores[:, t] + tail[t])[:, None, :] - total[:, None, None]).sum(0)
+        d_t = np.exp(lead[:-1, :, :, None] + p["T"] + (by_time + tail)[1:, :, None, :] - total[:, None, None]).sum((0, 1))
         np.add.at(d_t, (gold[:, :-1].ravel(), gold[:, 1:].ravel()), -1)
         path = scores[rows, times, gold].sum() + p["T"][gold[:, :-1], gold[:, 1:]].sum()
         d_scores *= scale
@@ -95,17 +94,23 @@ class Tagger:
         d_x = np.zeros_like(x)
         for d, kept, part in (("f", kf, d_both[..., :HIDDEN]), ("b", kb, d_both[..., HIDDEN:])):
             w = p["W" + d]
-            d_w, d_c = np.zeros_like(w), np.zeros(4 * HIDDEN)
-            d_h, d_s = np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN))
+            d_h, d_s = np.zeros((2, n, HIDDEN), x.dtype)
+            z = np.empty((steps, n, 4 * HIDDEN), x.dtype)
+            inputs = np.empty((steps, n, HIDDEN), x.dtype)
             for t, h, s, i, f, o, g, squashed in reversed(kept):
                 d_h = d_h + part[:, t]
                 d_s = d_s + d_h * o * (1 - squashed**2)
-                z = np.concatenate([d_s * g * i * (1 - i), d_s * s * f * (1 - f), d_h * squashed * o * (1 - o), d_s * i * (1 - g**2)], 1)
-                d_w[:EMBED] += x[:, t].T @ z
-                d_w[EMBED:] += h.T @ z
-                d_c += z.sum(0)
-                d_x[:, t] += z @ w[:EMBED].T
-                d_h, d_s = z @ w[EMBED:].T, d_s * f
+                z[t, :, :HIDDEN] = d_s * g * i * (1 - i)
+                z[t, :, HIDDEN: 2 * HIDDEN] = d_s * s * f * (1 - f)
+                z[t, :, 2 * HIDDEN: 3 * HIDDEN] = d_h * squashed * o * (1 - o)
+                z[t, :, 3 * HIDDEN:] = d_s * i * (1 - g**2)
+                inputs[t] = h
+                d_h, d_s = z[t] @ w[EMBED:].T, d_s * f
+            flat_z = z.reshape(-1, 4 * HIDDEN)
+            d_w = np.concatenate([
+                x.transpose(1, 0, 2).reshape(-1, EMBED).T @ flat_z, inputs.reshape(-1, HIDDEN).T @ flat_z])
+            d_c = flat_z.sum(0)
+            d_x += (z @ w[:EMBED].T).transpose(1, 0, 2)
             grads["W" + d], grads["c" + d] = d_w, d_c
         grads["E"] = np.zeros_like(p["E"])
         np.add.at(grads["E"], codes.ravel(), d_x.reshape(-1, EMBED))
@@ -131,23 +136,24 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 def train(
-    codes: np.ndarray, gold: np.ndarray, tags: int, *, epochs: int = 8, batch: int = 64, rate: float = 0.02, seed: int = 7
+    codes: np.ndarray, gold: np.ndarray, tags: int, *, steps: int = 300, batch: int = 96, rate: float = 0.03, seed: int = 7
 ) -> Tagger:
-    """Adam over shuffled windows (n, time)."""
-    model, rng, step = Tagger.fresh(tags, seed), np.random.default_rng(seed), 0
+    """So many Adam steps over shuffled windows (n, time), whatever their number."""
+    model, rng = Tagger.fresh(tags, seed), np.random.default_rng(seed)
     first = {k: np.zeros_like(v) for k, v in model.params.items()}
     second = {k: np.zeros_like(v) for k, v in model.params.items()}
-    for epoch in range(epochs):
-        order = rng.permutation(len(codes))
-        for at in range(0, len(order), batch):
-            take = order[at: at + batch]
-            _, grads = model.loss_and_gradients(codes[take], gold[take])
-            norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-            step += 1
-            for k, g in grads.items():
-                g = g * min(1.0, 1.0 / (norm + 1e-9))
-                first[k] += 0.1 * (g - first[k])
-                second[k] += 0.001 * (g * g - second[k])
-                model.params[k] -= (rate * (1 - epoch / epochs) * (first[k] / (1 - 0.9**step)) / (
-                    np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
+    order = np.empty(0, np.int64)
+    for step in range(1, steps + 1):
+        if len(order) < min(batch, len(codes)):
+            order = rng.permutation(len(codes))
+        take, order = order[:batch], order[batch:]
+        _, grads = model.loss_and_gradients(codes[take], gold[take])
+        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        speed = rate * min(1.0, 2 * (1 - step / (steps + 1)))
+        for k, g in grads.items():
+            g = g * min(1.0, 1.0 / (norm + 1e-9))
+            first[k] += (0.1 * (g - first[k])).astype(np.float32)
+            second[k] += (0.001 * (g * g - second[k])).astype(np.float32)
+            model.params[k] -= (speed * (first[k] / (1 - 0.9**step)) / (
+                np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
     return model
