@@ -40,7 +40,7 @@ SENSITIVE = {
 # Words that make "key" sensitive.
 KEY_WORDS = {"api", "access", "private", "secret", "encryption", "signing", "account", "master", "client", "auth"}
 PLACEHOLDER = re.compile(
-    r"^(?:change.?me|your.*|example.*|sample.*|dummy.*|todo|none|null|true|false|test|x+|\*+|\.+|<.*>|\$\{.*\}|\{\{.*\}\}|%\(.*)$",
+    r"^(?:change.?me.*|your.*|example.*|sample.*|dummy.*|todo|none|null|true|false|test|x+|\*+|\.+|<.*>|\$\{.*\}|\{\{.*\}\}|%\(.*)$",
     re.I)
 OPERATOR = re.compile(r":=|=>|[:=]")
 NAME_END = re.compile(r"[A-Za-z_$][\w$.-]*$", re.A)

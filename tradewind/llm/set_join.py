@@ -4,8 +4,9 @@ A document's set holds the hashes of its distinct 3-word shingles. Two sets of x
 are linked when their overlap o satisfies 100 * o >= percent * (x + y - o).
 
 * Index lists. The members of every set are put in one global order, common shingles last. Two
-  linked sets share a shingle within their first x - ceil(p * x) + 1 members, so lists are kept
-  for those only. Each entry carries its position and the set's size.
+  linked sets share at least three shingles within their first x - ceil(p * x) + 3 members, so
+  lists are kept for those only, and a pair must meet in three lists. Each entry carries its
+  position and the set's size.
 * Block skipping. Within a list, entries are grouped into blocks by position and size. Two
   blocks whose positions leave too few members behind, or whose sizes are too far apart, are
   skipped as a whole; entries of the remaining blocks are tested one by one.
@@ -38,7 +39,10 @@ COMMON = 131_072
 # Members after which a task counts its shingles, and the least count worth reporting.
 COUNT_MEMBERS = 2_000_000
 COMMON_FROM = 8
-WORD_CACHE = 500_000
+WORD_CACHE = 200_000
+# Lists in which a pair must meet. Different sets of under nine members are never linked at 90 %,
+# so linked ones always share that many.
+MEETINGS = 3
 # Rounds in which lists are compared with their hub before all other pairs are.
 HUB_ROUNDS = 2
 
@@ -113,12 +117,12 @@ def common_shingles(docs: DataFrame, most: int = COMMON) -> np.ndarray:
     """
     counts = docs.select("text").mapInArrow(_counter, "shingle long, n long")
     total = counts.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON_FROM)
-    top = total.orderBy(F.desc("n"), "shingle").limit(most).collect()
-    return np.array([r["shingle"] for r in reversed(top)], np.int64).view(np.uint64)
+    top = total.orderBy(F.desc("n"), "shingle").limit(most).select("shingle").toArrow()
+    return top["shingle"].to_numpy()[::-1].astype(np.int64).view(np.uint64)
 
 
 def prefix_length(size: int, percent: int = PERCENT) -> int:
-    return size - -(-percent * size // 100) + 1 if size else 0
+    return min(size, size - -(-percent * size // 100) + MEETINGS)
 
 
 def _prefixes(common: np.ndarray, percent: int):
@@ -175,7 +179,15 @@ def _possible(a: str, b: str, percent: int) -> Column:
     """Sizes and positions of a shared shingle leave room for enough overlap."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
     rest = F.least(na - F.col(f"{a}.pos"), nb - F.col(f"{b}.pos"))
-    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (rest >= needed(na, nb, percent))
+    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (
+        rest + (MEETINGS - 1) >= needed(na, nb, percent))
+
+
+def _often_met(met: DataFrame, x: str, y: str) -> DataFrame:
+    """Pairs (a, b) of ids that meet in enough lists."""
+    pairs = met.select(F.greatest(f"{x}.id", f"{y}.id").alias("a"), F.least(f"{x}.id", f"{y}.id").alias("b"))
+    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("lists")).where(
+        F.col("lists") >= MEETINGS).select("a", "b")
 
 
 def hub_pairs(entries: DataFrame, percent: int) -> DataFrame:
@@ -187,8 +199,7 @@ def hub_pairs(entries: DataFrame, percent: int) -> DataFrame:
     met = entries.alias("e").join(lists.alias("l"), "shingle").select(
         F.struct("e.id", "e.pos", "e.n").alias("x"),
         F.when(F.col("e.class") != F.col("l.low.class"), F.col("l.low")).otherwise(F.col("l.high")).alias("y"))
-    return met.where(_possible("x", "y", percent)).select(
-        F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()
+    return _often_met(met.where(_possible("x", "y", percent)), "x", "y")
 
 
 def block_pairs(entries: DataFrame, percent: int) -> DataFrame:
@@ -206,7 +217,7 @@ def block_pairs(entries: DataFrame, percent: int) -> DataFrame:
     a, b = blocks.alias("a"), blocks.alias("b")
     met = a.join(b, F.expr("a.shingle = b.shingle and a.class < b.class")).where(
         (100 * F.least("a.most", "b.most") >= percent * F.greatest("a.least", "b.least"))
-        & (F.least("a.rest", "b.rest") >= needed(F.col("a.least"), F.col("b.least"), percent)))
+        & (F.least("a.rest", "b.rest") + (MEETINGS - 1) >= needed(F.col("a.least"), F.col("b.least"), percent)))
     met = met.select(
         F.col("a.shingle").alias("shingle"),
         *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in key[1:]])
@@ -217,8 +228,7 @@ def block_pairs(entries: DataFrame, percent: int) -> DataFrame:
 
     pairs = met.join(side("a"), ["shingle", *[f"a_{c}" for c in key[1:]]])
     pairs = pairs.join(side("b"), ["shingle", *[f"b_{c}" for c in key[1:]]])
-    return pairs.where(_possible("a", "b", percent)).select(
-        F.greatest("a.id", "b.id").alias("a"), F.least("a.id", "b.id").alias("b")).distinct()
+    return _often_met(pairs.where(_possible("a", "b", percent)), "a", "b")
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -266,7 +276,7 @@ def shingle_classes(docs: DataFrame, *, percent: int = PERCENT, common: int = CO
     component. Of rows that repeat a doc_id with different texts, the set with the smallest
     fingerprint stands for the document; all its rows share its component.
     """
-    docs = docs.select("doc_id", "text")
+    spark, docs = docs.sparkSession, docs.select("doc_id", "text")
     late = common_shingles(docs, common)
     prefixes = stored(docs.mapInArrow(
         _prefixes(late, percent), "doc_id long, n_shingles long, print binary, prefix array<long>"), "prefixes")
@@ -283,11 +293,19 @@ def shingle_classes(docs: DataFrame, *, percent: int = PERCENT, common: int = CO
     met = entries.groupBy("shingle").agg(F.min("id").alias("l"), F.max("id").alias("h")).where("l <> h")
     entries = stored(entries.join(met.select("shingle"), "shingle", "left_semi"), "entries")
 
-    ids = small_or_shuffled(stored(entries.select("id").distinct().join(first, "id"), "ids"))
-    wanted = docs.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    sets = stored(
-        wanted.mapInArrow(_members, "id long, print binary, members array<long>").join(ids, ["id", "print"], "left_semi")
-        .dropDuplicates(["id"]).select("id", "members"), "members")
+    sets = spark.createDataFrame([], "id long, members array<long>")
+
+    def with_sets_of(pairs: DataFrame) -> DataFrame:
+        """The sets so far and those of the pairs' ids, made from their texts."""
+        asked = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+        ids = stored(asked.join(sets.select("id"), "id", "left_anti").join(first, "id"), "ids")
+        if not ids.limit(1).count():
+            return sets
+        ids = small_or_shuffled(ids)
+        wanted = docs.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+        made = wanted.mapInArrow(_members, "id long, print binary, members array<long>").join(
+            ids, ["id", "print"], "left_semi").dropDuplicates(["id"])
+        return sets.unionByName(stored(made.select("id", "members"), "members"))
 
     known = None
     labels = None
@@ -298,10 +316,13 @@ def shingle_classes(docs: DataFrame, *, percent: int = PERCENT, common: int = CO
         if turn < HUB_ROUNDS:
             pairs = hub_pairs(classed, percent)
         else:
-            pairs = stored(block_pairs(classed, percent), "pairs")
-            pairs = not_excluded(pairs, known, sets, percent)
+            pairs = block_pairs(classed, percent)
         if known is not None:
             pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = stored(pairs, "pairs")
+        sets = with_sets_of(pairs)
+        if turn == HUB_ROUNDS:
+            pairs = not_excluded(pairs, known, sets, percent)
         answers = stored(overlaps(pairs, sets), "overlaps")
         known = answers if known is None else known.unionByName(answers)
         labels = components(known.where(linked(percent)).select("a", "b"))
