@@ -6,9 +6,12 @@ import pytest
 
 import __spark_entry__ as contract
 from check import differences, oracle_connection
+from oracles.registry import oracle_queries
+from tradewind.plans.registry import registered_queries
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+# The text queries have their own tests, and go with their package.
+QUERIES = registered_queries()
+ORACLES = oracle_queries()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +23,11 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_contract_holds_every_query():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
 def test_entry_runs(spark):
     assert contract.entry(spark).limit(5).count() == 5
 
