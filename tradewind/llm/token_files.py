@@ -32,7 +32,7 @@ MASK_DELTA = 0xA282EAD8
 END_ID = 2
 # Records in one file; it bounds what a reading task takes at once.
 FILE_DOCUMENTS = 4_000
-CACHED_PIECES = 400_000
+CACHED_PIECES = 600_000
 BATCH_CHARS = 4_000_000
 
 ship(__name__)
@@ -97,20 +97,27 @@ class Encoder:
         if self.cuts:
             for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
                 self.starts[i] = token.startswith("Ġ")
-        self.known: dict[str, np.ndarray] = {}
+        # Number of each kept piece, and by number where its ids lie and how many they are.
+        self.known: dict[str, int] = {}
+        self.ids = np.empty(0, np.uint32)
+        self.sizes = np.empty(0, np.int64)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _pieces(self, pieces: list[str]) -> list[np.ndarray]:
-        """Ids of pieces that each follow a space: the joined text splits where a token starts with one."""
+    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, and their number per piece, of pieces that each follow a space.
+
+        They are encoded as one text, which splits where a token starts with a space.
+        """
         if not pieces:
-            return []
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
         ids = self.whole([" " + " ".join(pieces)])[0]
         at = np.flatnonzero(self.starts[ids])
         if len(at) != len(pieces):
-            return self.whole([" " + p for p in pieces])
-        return np.split(ids, at[1:])
+            each = self.whole([" " + p for p in pieces])
+            return np.concatenate(each), np.array([len(x) for x in each], np.int64)
+        return ids, np.diff(np.append(at, len(ids)))
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
@@ -128,15 +135,19 @@ class Encoder:
             first = offsets[:-1] - offsets[0]
             # The first piece follows no space.
             heads = self.whole([names[codes[k]] for k in first])
-            fresh = [n for n in names if n not in self.known]
-            local = dict(zip(fresh, self._pieces(fresh)))
-            values = [self.known[n] if n in self.known else local[n] for n in names]
-            room = CACHED_PIECES - len(self.known)
+            number = np.fromiter((self.known.get(n, -1) for n in names), np.int64, len(names))
+            missing = np.flatnonzero(number < 0)
+            fresh = [names[i] for i in missing]
+            ids, count = self._pieces(fresh)
+            number[missing] = len(self.sizes) + np.arange(len(fresh))
+            flat, all_sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, count])
+            begins = np.cumsum(all_sizes) - all_sizes
+            sizes, begin = all_sizes[number], begins[number]
+            room = min(len(fresh), CACHED_PIECES - len(self.known))
             if room > 0:
-                self.known.update((n, local[n].copy()) for n in fresh[:room])
-            sizes = np.fromiter(map(len, values), np.int64, len(values))
-            begin = np.cumsum(sizes) - sizes
-            flat = np.concatenate(values) if values else np.empty(0, np.uint32)
+                self.known.update(zip(fresh[:room], range(len(self.sizes), len(self.sizes) + room)))
+                self.ids = flat[: len(self.ids) + int(count[:room].sum())]
+                self.sizes = all_sizes[: len(self.sizes) + room]
             each, where = sizes[codes], begin[codes]
             ends = np.cumsum(each)
             index = np.repeat(where - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)
