@@ -143,3 +143,27 @@ def test_freshness(spark):
 def test_unknown_report(spark):
     with pytest.raises(KeyError):
         reports.report("nothing", spark, lambda name: None)
+
+
+def test_a_corrupt_table_isolates(spark, tmp_path):
+    from tradewind.operators import metrics
+
+    spark.range(3).withColumn("value", F.col("id").cast("double")).write.parquet(str(tmp_path / "t"))
+    frame = spark.read.parquet(str(tmp_path / "t"))
+    for part in (tmp_path / "t").glob("*.parquet"):
+        part.write_bytes(b"no parquet here")
+    good = spark.createDataFrame([(2.0,)], "value double")
+    found = metrics.headline_metrics(
+        spark, lambda name: frame, isolate=True,
+        metrics={"bad": lambda t, r: t("x").agg(F.sum("value").alias("value")), "good": lambda t, r: good})
+    assert {r.metric_name: r.value for r in found.collect()} == {"bad": None, "good": 2.0}
+
+
+def test_a_repeated_run_is_stored_once(spark, tmp_path):
+    from tradewind.sources import layers
+
+    path = str(tmp_path / "history")
+    rows = spark.sql("select 'm' metric_name, 1.0D value, timestamp'2024-01-01' snapshot_ts, 'r1' run_id")
+    for run in ("r1", "r2", "r1"):
+        layers.metrics_append(rows.withColumn("run_id", F.lit(run)), path)
+    assert layers.read_history(spark, path).count() == 2

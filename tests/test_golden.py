@@ -109,14 +109,14 @@ def test_validation(shop, as_of):
     raw = shop.raw()
     log = {
         (r["source_table"], r["column_name"], r["rule"]): r["failed_rows"]
-        for r in rules.validation_log(raw, as_of).collect()
+        for r in rules.validation_log(raw, as_of, missing="skip").collect()
     }
     assert len(log) == 19
     assert log["orders", "order_id", "not_null_or_blank"] == 302
     assert log["orders", "order_date", "parses_as_date"] == 169
     assert log["orders", "final_amount", "parses_as_nonneg_double"] == 393
     assert log["orders", "discount_percentage", "parses_as_pct_0_100"] == 224
-    kept = by(rules.validation_rejects(raw, as_of), "silver_table", "silver_rows")
+    kept = by(rules.validation_rejects(raw, as_of, missing="skip"), "silver_table", "silver_rows")
     assert kept == {
         "dim_customer": 1484, "dim_product": 1563, "dim_campaign": 88, "fact_orders": 13437,
         "fact_order_items": 51887, "fact_payments": 13989, "fact_shipments": 14249,

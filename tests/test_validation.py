@@ -44,11 +44,11 @@ def test_orders_conform(orders, as_of):
 
 def test_rejects_are_explained_and_conserved(orders, as_of):
     tables = {"orders": orders}
-    total = rules.validation_rejects(tables, as_of).first()
+    total = rules.validation_rejects(tables, as_of, missing="skip").first()
     assert (total["bronze_rows"], total["silver_rows"], total["rejected_rows"]) == (12, 3, 9)
     reasons = {
         (r["column_name"], r["rule"]): r["rejected_rows"]
-        for r in rules.rejects_by_rule(tables, as_of).collect()
+        for r in rules.rejects_by_rule(tables, as_of, missing="skip").collect()
     }
     assert sum(reasons.values()) == 9
     assert reasons["order_date", "parses_as_date"] == 2
@@ -60,7 +60,7 @@ def test_rejects_are_explained_and_conserved(orders, as_of):
 def test_log_ignores_missing_values(orders, as_of):
     log = {
         (r["column_name"], r["rule"]): r["failed_rows"]
-        for r in rules.validation_log({"orders": orders}, as_of).collect()
+        for r in rules.validation_log({"orders": orders}, as_of, missing="skip").collect()
     }
     # A missing amount is rejected but not logged; NaN and -1 are logged.
     assert log["final_amount", "parses_as_nonneg_double"] == 2
@@ -101,6 +101,23 @@ def test_rule_list_is_complete():
 
 def test_empty_table(spark, as_of):
     empty = raw(spark, "payments", [], ["payment_id", "order_id", "amount_paid"])
-    row = rules.validation_rejects({"payments": empty}, as_of).first()
+    row = rules.validation_rejects({"payments": empty}, as_of, missing="skip").first()
     assert (row["bronze_rows"], row["silver_rows"], row["rejected_rows"]) == (0, 0, 0)
-    assert rules.validation_log({"payments": empty}, as_of).agg(F.sum("failed_rows")).first()[0] == 0
+    assert rules.validation_log({"payments": empty}, as_of, missing="skip").agg(F.sum("failed_rows")).first()[0] == 0
+
+
+def test_a_rule_without_its_column_is_an_error(spark, as_of):
+    import pytest
+
+    orders = spark.createDataFrame([("1",)], "order_id string")
+    for report in (rules.validation_log, rules.validation_rejects, rules.rejects_by_rule):
+        with pytest.raises(ValueError, match="absent columns"):
+            report({"orders": orders}, as_of)
+
+
+def test_infinite_amounts_and_tables_without_active_rules(spark, as_of):
+    rule = next(r for r in rules.RULES if r.kind == "parses_as_nonneg_double")
+    values = spark.createDataFrame([("Infinity",), ("-Infinity",), ("NaN",), ("3",)], f"{rule.column} string")
+    assert [r[0] for r in values.select(rules.holds(rule, as_of)).collect()] == [False, False, False, True]
+    bare = spark.createDataFrame([("x",)], "other string")
+    assert rules.rejects_by_rule({"orders": bare}, as_of, missing="skip").count() == 0

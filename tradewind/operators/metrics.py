@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -65,7 +66,8 @@ def headline_metrics(
     """(metric_name, value), one row per metric.
 
     A metric whose table or column is missing gives NULL and the others go on. With
-    `isolate` each metric also runs by itself, so that one failing at run time does too;
+    `isolate` each metric also runs by itself, so that one failing at run time does too, a job
+    that aborts on an unreadable file included;
     only the single values then pass through the driver.
     """
     parts = []
@@ -78,7 +80,7 @@ def headline_metrics(
                 found = spark.createDataFrame(
                     [tuple(r) for r in found.collect()], "metric_name string, value double"
                 )
-        except (PySparkException, KeyError):
+        except (PySparkException, Py4JJavaError, KeyError):
             found = spark.createDataFrame([(name, None)], "metric_name string, value double")
         parts.append(found)
     return reduce(DataFrame.unionByName, parts)

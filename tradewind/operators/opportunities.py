@@ -129,7 +129,7 @@ def delay_impact_on_experience(
     reviews: DataFrame,
     returns: DataFrame,
     *,
-    unknown: str = "On-time",
+    unknown: str = "Unknown",
     rounding: Rounding = PUBLISHED,
 ) -> DataFrame:
     """Ratings and return rate of delayed against other orders, at order level.

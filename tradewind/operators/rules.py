@@ -77,8 +77,9 @@ def holds(rule: Rule, as_of: Column) -> Column:
     if rule.kind == "not_null_or_blank":
         return not_blank(raw)
     number = raw.try_cast("double")
-    # NaN compares as larger than any number, so it must be excluded by name.
-    real = number.isNotNull() & ~F.isnan(number)
+    # NaN compares as larger than any number, so it must be excluded by name; an infinite
+    # amount would make every sum infinite.
+    real = number.isNotNull() & ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
     tests = {
         "parses_as_date": lambda: raw.try_cast("date").isNotNull(),
         "not_in_future": lambda: raw.try_cast("date") <= as_of,
@@ -106,6 +107,15 @@ def filter_failure(rule: Rule, as_of: Column) -> Column:
     return failed & F.col(rule.column).isNotNull() if rule.null_ok else failed
 
 
+def check_columns(raw: Mapping[str, DataFrame], missing: str) -> None:
+    """Raises for rules whose column a table lacks, unless `missing` is "skip"."""
+    if missing not in ("raise", "skip"):
+        raise ValueError(f"missing is 'raise' or 'skip', not {missing!r}")
+    absent = [f"{t}.{r.column}" for t, f in raw.items() for r in rules_of(t) if r.column not in f.columns]
+    if absent and missing == "raise":
+        raise ValueError(f"rules for absent columns: {', '.join(dict.fromkeys(absent))}")
+
+
 def active_rules(table: str, frame: DataFrame) -> list[Rule]:
     """The filtering rules of a table whose column the frame has."""
     return [r for r in rules_of(table) if r.filters and r.column in frame.columns]
@@ -117,8 +127,12 @@ def keep(table: str, frame: DataFrame, as_of: Column) -> Column:
     return reduce(lambda a, b: a & b, passed, F.lit(True))
 
 
-def validation_log(raw: Mapping[str, DataFrame], as_of: Column) -> DataFrame:
-    """Failing rows per (source_table, column_name, rule): one pass over each table."""
+def validation_log(raw: Mapping[str, DataFrame], as_of: Column, *, missing: str = "raise") -> DataFrame:
+    """Failing rows per (source_table, column_name, rule): one pass over each table.
+
+    A rule whose column is absent is an error unless `missing` is "skip".
+    """
+    check_columns(raw, missing)
     parts = []
     for table, frame in raw.items():
         rules = [r for r in rules_of(table) if r.logged and r.column in frame.columns]
@@ -146,8 +160,9 @@ def validation_log(raw: Mapping[str, DataFrame], as_of: Column) -> DataFrame:
     )
 
 
-def validation_rejects(raw: Mapping[str, DataFrame], as_of: Column) -> DataFrame:
+def validation_rejects(raw: Mapping[str, DataFrame], as_of: Column, *, missing: str = "raise") -> DataFrame:
     """Raw rows, kept rows and their difference per typed table, each table read once."""
+    check_columns(raw, missing)
     parts = [
         frame.agg(rows().alias("_all"), F.count_if(keep(table, frame, as_of)).alias("_kept")).select(
             F.lit(SOURCES[table].typed).alias("silver_table"),
@@ -160,17 +175,20 @@ def validation_rejects(raw: Mapping[str, DataFrame], as_of: Column) -> DataFrame
     return reduce(DataFrame.unionByName, parts).orderBy(F.desc("rejected_rows"), "silver_table")
 
 
-def rejects_by_rule(raw: Mapping[str, DataFrame], as_of: Column) -> DataFrame:
+def rejects_by_rule(raw: Mapping[str, DataFrame], as_of: Column, *, missing: str = "raise") -> DataFrame:
     """Rejected rows by the first rule, in list order, that each row fails.
 
     Sums to `validation_rejects` per table, and also explains the rejects that the
-    validation log cannot show: NULL values and the rules that are not logged.
+    validation log cannot show: NULL values and the rules that are not logged. A table
+    without an active rule has no rows here.
     """
+    check_columns(raw, missing)
     parts = []
     for table, frame in raw.items():
         rules = active_rules(table, frame)
-        first = F.coalesce(*[F.when(filter_failure(r, as_of), F.lit(i)) for i, r in enumerate(rules)])
-        names = F.array(*[F.struct(F.lit(r.column).alias("c"), F.lit(r.kind).alias("k")) for r in rules])
+        first = F.coalesce(*[F.when(filter_failure(r, as_of), F.lit(i)) for i, r in enumerate(rules)], F.lit(None).cast("int"))
+        names = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(k).alias("k"))
+                          for c, k in [*((r.column, r.kind) for r in rules), ("", "")]])
         parts.append(
             frame.select(first.alias("_rule"))
             .where(F.col("_rule").isNotNull())

@@ -51,7 +51,8 @@ def _typed(table: str) -> Query:
 
 
 def _raw_report(report: Callable[..., DataFrame]) -> Query:
-    return lambda spark, folder: report(SampleStar(spark, folder).raw(), _date(AS_OF))
+    return lambda spark, folder: report(
+        SampleStar(spark, folder).raw(), _date(AS_OF), missing="skip")
 
 
 def _rfm_scores(spark: SparkSession, folder: str) -> DataFrame:

@@ -43,8 +43,8 @@ def read_table(spark: SparkSession, root: str, layer: str, table: str) -> DataFr
 
 
 def metrics_append(rows: DataFrame, path: str) -> None:
-    """Appends metric rows to the history, one partition per run, creating it on first use."""
-    rows.write.mode("append").partitionBy("run_id").parquet(path)
+    """Adds metric rows to the history, one partition per run; a run stored before is replaced."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
