@@ -32,8 +32,9 @@ MASK_DELTA = 0xA282EAD8
 END_ID = 2
 # Records in one file; it bounds what a reading task takes at once.
 FILE_DOCUMENTS = 4_000
-CACHED_PIECES = 600_000
-BATCH_CHARS = 4_000_000
+CACHED_PIECES = 300_000
+BATCH_CHARS = 1_500_000
+ENCODED_PIECES = 20_000
 
 ship(__name__)
 
@@ -110,14 +111,19 @@ class Encoder:
 
         They are encoded as one text, which splits where a token starts with a space.
         """
-        if not pieces:
-            return np.empty(0, np.uint32), np.empty(0, np.int64)
-        ids = self.whole([" " + " ".join(pieces)])[0]
-        at = np.flatnonzero(self.starts[ids])
-        if len(at) != len(pieces):
-            each = self.whole([" " + p for p in pieces])
-            return np.concatenate(each), np.array([len(x) for x in each], np.int64)
-        return ids, np.diff(np.append(at, len(ids)))
+        all_ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for i in range(0, len(pieces), ENCODED_PIECES):
+            some = pieces[i: i + ENCODED_PIECES]
+            ids = self.whole([" " + " ".join(some)])[0]
+            at = np.flatnonzero(self.starts[ids])
+            if len(at) == len(some):
+                all_ids.append(ids)
+                sizes.append(np.diff(np.append(at, len(ids))))
+            else:
+                each = self.whole([" " + p for p in some])
+                all_ids += each
+                sizes.append(np.array([len(x) for x in each], np.int64))
+        return np.concatenate(all_ids), np.concatenate(sizes)
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
