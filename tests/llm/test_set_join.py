@@ -7,6 +7,7 @@ import re
 
 import pytest
 
+from tradewind.llm.common import components
 from tradewind.llm.set_join import one_per_class, prefix_length, shingle_classes
 
 SCHEMA = "doc_id long, text string, lang string, n_shingles string"
@@ -76,3 +77,25 @@ def test_null_and_repeated_ids_and_empty_table(spark):
 def test_prefix_holds_enough_members():
     for n in range(1, 300):
         assert prefix_length(n) == min(n, n - -(-90 * n // 100) + 3)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_components_of_chains_stars_and_loops(spark, seed):
+    rng = random.Random(seed)
+    nodes = rng.sample(range(1000), 90)
+    edges = list(zip(nodes[:30], nodes[1:31]))  # a chain in random order
+    edges += [(nodes[40], n) for n in nodes[41:60]]  # a star
+    edges += [(rng.choice(nodes[61:]), rng.choice(nodes[61:])) for _ in range(25)]
+    edges += [edges[0], edges[0][::-1], (None, 5), (7, None)]
+    groups = {n: {n} for e in edges if None not in e and e[0] != e[1] for n in e}
+    for a, b in edges:
+        if a in groups and b in groups:
+            merged = groups[a] | groups[b]
+            for n in merged:
+                groups[n] = merged
+    found = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert sorted(map(tuple, found)) == sorted((n, min(g)) for n, g in groups.items())
+
+
+def test_no_edges(spark):
+    assert components(spark.createDataFrame([(3, 3)], "a long, b long")).count() == 0

@@ -325,7 +325,11 @@ def shingle_classes(docs: DataFrame, *, percent: int = PERCENT, common: int = CO
             pairs = not_excluded(pairs, known, sets, percent)
         answers = stored(overlaps(pairs, sets), "overlaps")
         known = answers if known is None else known.unionByName(answers)
-        labels = components(known.where(linked(percent)).select("a", "b"))
+        # The components so far stand for the links found before.
+        links = answers.where(linked(percent)).select("a", "b")
+        if labels is not None:
+            links = links.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        labels = components(links)
 
     of_set = first.join(labels, F.expr("id = node"), "left").select(
         F.col("print").alias("_print"), F.coalesce("component", "id").alias("component_id"))
