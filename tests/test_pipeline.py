@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from tradewind.operators import metadata
 from tradewind.plans.pipeline import DriftDetected, Pipeline, build_layers
 from tradewind.plans.sample_star import SampleStar
 from tradewind.schema import SOURCES
-from tradewind.sources.layers import write_table
+from tradewind.sources.layers import read_history, read_table, write_table
 from tradewind.sources.raw import read_raw
 from tradewind.streaming.ingest import ingest_new_files
 
@@ -47,9 +49,21 @@ def test_written_tables_are_replaced(spark, tmp_path):
     for size in (5, 3):
         stored = write_table(spark.range(size), str(tmp_path), "gold", "t")
         assert stored.count() == size
-    with pytest.raises(ValueError, match="cannot overwrite"):
-        write_table(stored, str(tmp_path), "gold", "t")
-    assert stored.count() == 3
+    # A table may be made from itself; the version before stays readable.
+    again = write_table(stored.where("id > 0"), str(tmp_path), "gold", "t")
+    assert (again.count(), stored.count()) == (2, 3)
+    assert len(list((tmp_path / "gold" / "t").iterdir())) == 2
+
+
+def test_a_failed_rewrite_leaves_the_table(spark, tmp_path):
+    root = str(tmp_path)
+    write_table(spark.range(5), root, "gold", "t")
+    with pytest.raises(Exception, match="broken row"):
+        write_table(spark.range(9).withColumn("id", F.expr(
+            "if(id = 8, cast(raise_error('broken row') as bigint), id)")), root, "gold", "t")
+    assert read_table(spark, root, "gold", "t").count() == 5
+    assert write_table(spark.range(2), root, "gold", "t").count() == 2
+    assert read_table(spark, root, "gold", "t").count() == 2
 
 
 def test_tags_follow_the_column(spark, tmp_path):
@@ -112,6 +126,35 @@ def test_rerun_changes_nothing(spark, built):
         again.drift_check(threshold=0.0, strict=True)
 
 
+def test_tags_alone_in_a_new_object(spark, built):
+    first, _, root = built
+    again = Pipeline(spark, f"{root}/raw", f"{root}/out", first.as_of, database="shop_again")
+    build_layers(again, only="tags")
+    described = {r[0]: r[1] for r in spark.sql("DESCRIBE TABLE EXTENDED shop_again.dim_customer").collect()}
+    assert "contains_pii=true" in described["Table Properties"]
+    described = {r[0]: r[1] for r in spark.sql("DESCRIBE TABLE EXTENDED shop_again.validation_log").collect()}
+    assert described["Comment"].startswith("Raw rows that fail")
+
+
+def test_drift_check_survives_missing_and_corrupt_tables(spark, built):
+    first, _, root = built
+    copy = root / "damaged"
+    shutil.copytree(root / "out" / "gold", copy / "gold")
+    (copy / "gold" / "data_quality").rename(copy / "data_quality")
+    for part in (copy / "gold" / "cohort_retention").glob("v*/*.parquet"):
+        part.write_bytes(b"no parquet")
+        (part.parent / f".{part.name}.crc").unlink()
+    again = Pipeline(spark, f"{root}/raw", str(copy), first.as_of)
+    again.drift_check(run_id="damaged")
+    values = {r["metric_name"]: r["value"] for r in read_history(spark, again.history_path()).collect()}
+    whole = {r["metric_name"]: r["value"] for r in read_history(spark, first.history_path()).collect()}
+    lost = {"dq_worst_check_pct", "retention_m1_avg_pct"}
+    assert all(whole[n] is not None for n in lost)
+    assert values == {n: None if n in lost else v for n, v in whole.items()}
+    again.drift_check(run_id="damaged")
+    assert read_history(spark, again.history_path()).count() == len(values)
+
+
 def test_unknown_layer(built):
     with pytest.raises(ValueError, match="unknown layer"):
         build_layers(built[0], only="platinum")

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +16,9 @@ from tradewind.operators.conform import conform_all
 from tradewind.operators.rules import rejects_by_rule, validation_log, validation_rejects
 from tradewind.plans import gold
 from tradewind.schema import SOURCES
-from tradewind.sources.layers import metrics_append, read_history, read_table, table_path, write_layer, write_table
+from tradewind.sources.layers import (
+    current_path, metrics_append, read_history, read_table, table_path, write_layer, write_table,
+)
 from tradewind.streaming.ingest import ingest_all_new_files
 
 
@@ -85,19 +88,35 @@ class Pipeline:
     def tags(self) -> dict[str, DataFrame]:
         """Table properties, where tables are registered, and the list of tagged columns."""
         if self.database is not None:
-            metadata.tag_tables(self.spark, self.registered)
+            typed = [*(s.typed for s in SOURCES.values()), "validation_rejects", "rejects_by_rule"]
+            for layer, names in {
+                "bronze_checks": ["validation_log"], "silver": typed, "gold": list(gold.BUILDERS),
+            }.items():
+                self.register(layer, [n for n in names if n not in self.registered and self.exists(layer, n)])
         inventory = metadata.pii_inventory(self.spark, self.star())
         return write_layer({"pii_inventory": inventory}, self.out_root, "ops")
 
+    def exists(self, layer: str, name: str) -> bool:
+        """True if an earlier run or this one has stored the table."""
+        try:
+            read_table(self.spark, self.out_root, layer, name)
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return False
+        return True
+
     def register(self, layer: str, names: Iterable[str]) -> None:
-        """Makes stored tables of a layer known to the catalog, with their comments."""
+        """Makes the current versions of a layer's tables known to the catalog, with comments and tags."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
         for name in names:
-            path = table_path(self.out_root, layer, name)
+            path = current_path(self.spark, self.out_root, layer, name)
             self.spark.sql(f"DROP TABLE IF EXISTS `{self.database}`.`{name}`")
             self.spark.sql(f"CREATE TABLE `{self.database}`.`{name}` USING parquet LOCATION '{path}'")
             self.registered[name] = f"{self.database}.{name}"
-        metadata.comment_tables(self.spark, {n: self.registered[n] for n in names})
+        known = {n: self.registered[n] for n in names}
+        metadata.comment_tables(self.spark, known)
+        metadata.tag_tables(self.spark, known)
 
     # -- after the layers ------------------------------------------------------------------
 
@@ -111,9 +130,9 @@ class Pipeline:
         """
         now = datetime.now(timezone.utc)
         run = run_id or now.strftime("%Y%m%dT%H%M%SZ")
-        stored = self.stored("gold", list(gold.BUILDERS))
+        # Read on demand: a table that is missing or unreadable costs its own metrics only.
         found = metrics.headline_metrics(
-            self.spark, lambda name: stored[name], rounding=self.rounding, isolate=True
+            self.spark, lambda name: self.stored("gold", [name])[name], rounding=self.rounding, isolate=True
         )
         rows = metrics.snapshot(found, run, F.lit(now))
         previous = metrics.metrics_previous(read_history(self.spark, self.history_path()), run)
@@ -153,6 +172,8 @@ def build_layers(pipeline: Pipeline, only: str | None = None) -> dict[str, dict[
             pipeline.written.setdefault(layer_name, {}).update(built[name])
             if pipeline.database is not None and layer_name in ("silver", "gold"):
                 pipeline.register(layer_name, list(built[name]))
+            if pipeline.database is not None and name == "bronze":
+                pipeline.register("bronze_checks", ["validation_log"])
     if only is None:
         built["drift"] = {"metrics_drift": pipeline.drift_check()}
     return built

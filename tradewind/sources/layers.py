@@ -2,35 +2,62 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
-from urllib.parse import unquote, urlparse
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.operators.metrics import HISTORY_SCHEMA
 
+VERSION = re.compile(r"v\d{8,}")
+
 
 def table_path(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
 
 
-def _location(path: str) -> str:
-    return unquote(urlparse(path).path).rstrip("/") + "/"
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str, bool]]:
+    """(number, folder, complete) of a table's versions in order; Spark marks a complete write."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
+    return sorted(
+        (int(n[1:]), f"{path}/{n}", files.exists(hadoop.Path(f"{path}/{n}/_SUCCESS")))
+        for n in names if VERSION.fullmatch(n)
+    )
+
+
+def current_path(spark: SparkSession, root: str, layer: str, table: str) -> str:
+    """The folder of the table's newest complete version; the table's own if it has no versions."""
+    path = table_path(root, layer, table)
+    complete = [folder for _, folder, done in _versions(spark, path) if done]
+    return complete[-1] if complete else path
 
 
 def write_table(frame: DataFrame, root: str, layer: str, table: str) -> DataFrame:
     """Replaces the table with the frame and returns the stored table.
 
-    Reading back cuts the lineage at files every executor can reach, so later tables do
-    not recompute this one. A frame that reads the path it would replace is refused:
-    overwriting deletes the old files before the new ones are computed.
+    The rows go to a new version folder, which readers take once Spark has marked it complete. A
+    write that fails leaves the table as it was, and a frame may read the table it replaces. The
+    version before stays for those who still read it; older ones and failed ones are removed
+    after success. Reading back cuts the lineage at files every executor can reach. One writer
+    for a table at a time: a second one fails on the folder that the first has made.
     """
-    path = table_path(root, layer, table)
-    if any(_location(f).startswith(_location(path)) for f in frame.inputFiles()):
-        raise ValueError(f"cannot overwrite {path}: the new table reads it")
-    frame.write.mode("overwrite").parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    spark, path = frame.sparkSession, table_path(root, layer, table)
+    before = _versions(spark, path)
+    made = f"{path}/v{before[-1][0] + 1 if before else 1:08d}"
+    frame.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(made)
+    kept = [folder for _, folder, done in before if done][-1:]
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for _, folder, _ in before:
+        if folder not in kept:
+            old = hadoop.Path(folder)
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    return spark.read.schema(frame.schema).parquet(made)
 
 
 def write_layer(tables: Mapping[str, DataFrame], root: str, layer: str) -> dict[str, DataFrame]:
@@ -39,7 +66,7 @@ def write_layer(tables: Mapping[str, DataFrame], root: str, layer: str) -> dict[
 
 
 def read_table(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
-    return spark.read.parquet(table_path(root, layer, table))
+    return spark.read.parquet(current_path(spark, root, layer, table))
 
 
 def metrics_append(rows: DataFrame, path: str) -> None:
