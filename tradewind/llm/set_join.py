@@ -13,8 +13,8 @@ are linked when their overlap o satisfies 100 * o >= percent * (x + y - o).
 * Derived answers. Sets of one list are first compared with the list's first set only, which
   settles large groups of near copies in linear time. For a set y that is highly similar to
   such a hub h, the answers of h bound those of y: for every z,
-  overlap(y, z) <= overlap(h, z) + |y without h|. Pairs the bound excludes are never compared,
-  and sets that are already connected need no comparison for their class.
+  overlap(y, z) <= overlap(h, z) + |y without h|. Hubs are asked once for all their sets; blocks
+  that the bound excludes are never laid out, and connected sets need no comparison.
 
 Equal sets are one set from the start. Nothing is sampled or capped.
 """
@@ -202,33 +202,39 @@ def hub_pairs(entries: DataFrame, percent: int) -> DataFrame:
     return _often_met(met.where(_possible("x", "y", percent)), "x", "y")
 
 
-def block_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) of different classes that share a list and whose blocks are not skipped."""
-    # Blocks: a tenth in size, and a fiftieth of the size in position.
-    blocked = entries.select(
-        "*", F.floor(F.log("n") / F.log(F.lit(1.1))).cast("int").alias("size_block"),
+BLOCK = ["class", "hub", "size_block", "pos_block"]
+
+
+def in_blocks(entries: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Entries of the lists that hold several classes, with their hub and their block."""
+    several = entries.groupBy("shingle").agg(F.min("class").alias("l"), F.max("class").alias("h")).where("l <> h")
+    placed = entries.join(several.select("shingle"), "shingle", "left_semi").join(hubs, "id", "left")
+    # Blocks: a tenth in size, and a fiftieth of the size in position. A set without a hub is its own.
+    return placed.select(
+        "shingle", "id", "pos", "n", "class", F.coalesce("hub", "id").alias("hub"),
+        F.coalesce("extra", F.lit(0)).alias("extra"),
+        F.floor(F.log("n") / F.log(F.lit(1.1))).cast("int").alias("size_block"),
         F.floor(F.col("pos") * 50 / F.col("n")).cast("int").alias("pos_block"))
-    key = ["shingle", "class", "size_block", "pos_block"]
-    blocks = blocked.groupBy(*key).agg(
-        F.min("pos").alias("pos"), F.min("n").alias("least"), F.max("n").alias("most"),
+
+
+def block_meetings(blocked: DataFrame, percent: int) -> DataFrame:
+    """Pairs of blocks of different classes in one list that are not skipped."""
+    blocks = blocked.groupBy("shingle", *BLOCK).agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("extra").alias("extra"),
         F.max(F.col("n") - F.col("pos")).alias("rest"))
-    mixed = blocks.groupBy("shingle").agg(F.min("class").alias("l"), F.max("class").alias("h")).where("l <> h")
-    blocks = blocks.join(mixed.select("shingle"), "shingle", "left_semi")
     a, b = blocks.alias("a"), blocks.alias("b")
     met = a.join(b, F.expr("a.shingle = b.shingle and a.class < b.class")).where(
         (100 * F.least("a.most", "b.most") >= percent * F.greatest("a.least", "b.least"))
         & (F.least("a.rest", "b.rest") + (MEETINGS - 1) >= needed(F.col("a.least"), F.col("b.least"), percent)))
-    met = met.select(
+    return met.select(
         F.col("a.shingle").alias("shingle"),
-        *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in key[1:]])
+        *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in [*BLOCK, "least", "extra"]])
 
-    def side(s: str) -> DataFrame:
-        return blocked.select("shingle", *[F.col(c).alias(f"{s}_{c}") for c in key[1:]],
-                              F.struct("id", "pos", "n").alias(s))
 
-    pairs = met.join(side("a"), ["shingle", *[f"a_{c}" for c in key[1:]]])
-    pairs = pairs.join(side("b"), ["shingle", *[f"b_{c}" for c in key[1:]]])
-    return _often_met(pairs.where(_possible("a", "b", percent)), "a", "b")
+def hub_questions(met: DataFrame) -> DataFrame:
+    """Pairs (a, b) of hubs whose sets meet in enough lists, counted over all sets of either hub."""
+    return met.groupBy(F.col("a_hub").alias("a"), F.col("b_hub").alias("b")).agg(
+        F.count_distinct("shingle").alias("lists")).where(F.col("lists") >= MEETINGS).select("a", "b")
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -244,28 +250,36 @@ def linked(percent: int) -> Column:
     return 100 * F.col("overlap") >= percent * (F.col("na") + F.col("nb") - F.col("overlap"))
 
 
-def not_excluded(pairs: DataFrame, known: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs that the answers of a highly similar hub do not rule out.
+def hubs_of(known: DataFrame, percent: int) -> DataFrame:
+    """(id, hub, extra): the linked set of smallest id with which a set was compared, and |set without hub|."""
+    near = known.where(linked(percent)).select(
+        F.col("a").alias("id"),
+        F.struct(F.col("b").alias("hub"), (F.col("na") - F.col("overlap")).alias("extra")).alias("h"))
+    return near.groupBy("id").agg(F.min("h").alias("h")).select("id", "h.hub", "h.extra")
+
+
+def not_excluded(met: DataFrame, blocked: DataFrame, answers: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets that the answers of their hubs do not rule out.
 
-    `known` has compared pairs (a, b, overlap, na, nb). A set's hub is the linked set of
-    smallest id with which it was compared. For a pair of which a hub is in neither set, the
-    hubs' overlap is computed once per pair of hubs and bounds the pairs of all their sets.
+    `answers` has the overlap of every asked pair of hubs. It bounds whole blocks first, so a
+    large group of near copies is not laid out against sets that its hub excludes, and then
+    the single sets of the blocks that are left.
     """
-    near = known.where(linked(percent)).select(
-        F.col("a").alias("id"), F.struct(F.col("b").alias("hub"), (F.col("na") - F.col("overlap")).alias("extra")).alias("h"))
-    hubs = stored(near.groupBy("id").agg(F.min("h").alias("h")).select("id", "h.hub", "h.extra"), "hubs")
-    sizes = sets.select("id", F.size("members").cast("long").alias("n"))
-    side = sizes.join(hubs, "id", "left").select(
-        "id", "n", F.coalesce("hub", "id").alias("hub"), F.coalesce("extra", F.lit(0)).alias("extra"))
-    both = pairs.join(side.select(*[F.col(c).alias(f"{c}_a") for c in side.columns]), F.expr("a = id_a")).join(
-        side.select(*[F.col(c).alias(f"{c}_b") for c in side.columns]), F.expr("b = id_b"))
-    both = both.withColumn("ha", F.greatest("hub_a", "hub_b")).withColumn("hb", F.least("hub_a", "hub_b"))
-    asked = both.where("ha <> hb and extra_a + extra_b > 0").select(F.col("ha").alias("a"), F.col("hb").alias("b")).distinct()
-    answers = overlaps(asked, sets).select(F.col("a").alias("ha"), F.col("b").alias("hb"), "overlap")
-    bounded = both.join(answers, ["ha", "hb"], "left").where(
-        F.col("overlap").isNull()
-        | (F.col("overlap") + F.col("extra_a") + F.col("extra_b") >= needed(F.col("n_a"), F.col("n_b"), percent)))
-    return bounded.select("a", "b")
+    of_hubs = answers.select(F.col("a").alias("a_hub"), F.col("b").alias("b_hub"), "overlap")
+    left = met.join(of_hubs, ["a_hub", "b_hub"]).where(
+        F.col("overlap") + F.col("a_extra") + F.col("b_extra")
+        >= needed(F.col("a_least"), F.col("b_least"), percent)).drop("a_least", "a_extra", "b_least", "b_extra")
+
+    def side(s: str) -> DataFrame:
+        return blocked.select("shingle", *[F.col(c).alias(f"{s}_{c}") for c in BLOCK],
+                              F.struct("id", "pos", "n", "extra").alias(s))
+
+    pairs = left.join(side("a"), ["shingle", *[f"a_{c}" for c in BLOCK]])
+    pairs = pairs.join(side("b"), ["shingle", *[f"b_{c}" for c in BLOCK]])
+    return _often_met(pairs.where(
+        _possible("a", "b", percent)
+        & (F.col("overlap") + F.col("a.extra") + F.col("b.extra") >= needed(F.col("a.n"), F.col("b.n"), percent))),
+        "a", "b")
 
 
 def shingle_classes(docs: DataFrame, *, percent: int = PERCENT, common: int = COMMON) -> DataFrame:
@@ -316,13 +330,15 @@ def shingle_classes(docs: DataFrame, *, percent: int = PERCENT, common: int = CO
         if turn < HUB_ROUNDS:
             pairs = hub_pairs(classed, percent)
         else:
-            pairs = block_pairs(classed, percent)
+            blocked = stored(in_blocks(classed, hubs_of(known, percent)), "blocked")
+            met = stored(block_meetings(blocked, percent), "met")
+            asked = stored(hub_questions(met), "asked")
+            sets = with_sets_of(asked)
+            pairs = not_excluded(met, blocked, stored(overlaps(asked, sets), "hub-overlaps"), percent)
         if known is not None:
             pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         sets = with_sets_of(pairs)
-        if turn == HUB_ROUNDS:
-            pairs = not_excluded(pairs, known, sets, percent)
         answers = stored(overlaps(pairs, sets), "overlaps")
         known = answers if known is None else known.unionByName(answers)
         # The components so far stand for the links found before.
