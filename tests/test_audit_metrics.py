@@ -49,6 +49,19 @@ def test_planted_findings(tables, as_of):
     }
 
 
+def test_kinds_decide_what_is_counted_exactly(tables, as_of, monkeypatch):
+    counted = []
+    exactly = audit._column_counts
+    monkeypatch.setattr(audit, "_column_counts", lambda t, frame, columns: (
+        counted.extend(c.name for c in columns), exactly(t, frame, columns))[1])
+    assert set(found(audit.audit_model(tables, as_of, kinds=["NULLS"]))) == {
+        ("NULLS", "customers", "city"), ("NULLS", "visits", "note")}
+    assert counted == []
+    assert set(found(audit.audit_model(tables, as_of, kinds=["CONSTANT"]))) == {
+        ("CONSTANT", "customers", "kind"), ("CONSTANT", "customers", "city")}
+    assert "customer_id" not in counted
+
+
 def test_worst_first_and_summary(tables, as_of):
     findings = audit.audit_model(tables, as_of)
     order = [r["severity"] for r in findings.collect()]

@@ -59,6 +59,10 @@ def test_number_of_shuffles(name, exchanges, stored, as_of, shuffled_joins):
     assert tree.count("Exchange") == exchanges
 
 
+def test_distinct_counts_do_not_multiply_rows(stored, as_of):
+    assert "Expand" not in plan(gold.context(stored, as_of).table("revenue_trends"))
+
+
 def test_only_needed_columns_are_read(stored, as_of):
     text = plan(gold.context(stored, as_of).table("state_performance"))
     assert "ReadSchema: struct<delivery_state:string,final_amount:double>" in text

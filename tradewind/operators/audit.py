@@ -205,13 +205,17 @@ def _sketched_counts(table: str, frame: DataFrame, fields: Sequence[T.StructFiel
 
 
 def decisive_profile(
-    tables: Mapping[str, DataFrame], wanted: Callable[[str], bool] = lambda column: True
+    tables: Mapping[str, DataFrame],
+    wanted: Callable[[str], bool] = lambda column: True,
+    *,
+    keys: bool = True,
+    constants: bool = True,
 ) -> list[ColumnProfile]:
     """Profile of the wanted columns: sketches first, exact counts only where they decide.
 
     Columns that may be keys (distinct near rows) or constants (distinct near 1) are
-    counted exactly in a second pass; the sketch settles all others. Only these counts,
-    one line per column, come to the driver.
+    counted exactly in a second pass, if `keys` or `constants` asks for them; the sketch
+    settles all others. Only these counts, one line per column, come to the driver.
     """
     fields = {t: [f for f in frame.schema.fields if wanted(f.name)] for t, frame in tables.items()}
     sketches = [_sketched_counts(t, tables[t], listed) for t, listed in fields.items() if listed]
@@ -222,7 +226,9 @@ def decisive_profile(
 
     def decides(table: str, column: str) -> bool:
         row = guessed[table, column]
-        return row["rows"] > 0 and (row["distinct"] <= 3 or row["distinct"] >= EXACT_FROM * row["rows"])
+        constant = constants and row["distinct"] <= 3
+        key = keys and row["distinct"] >= EXACT_FROM * row["rows"]
+        return row["rows"] > 0 and (constant or key)
 
     parts = []
     for table, frame in tables.items():
@@ -256,6 +262,8 @@ class Audit:
     patterns: Patterns = Patterns()
     fk_map: Mapping[tuple[str, str], tuple[str, str]] | None = None
     ids_only: bool = False
+    exact_keys: bool = True
+    exact_constants: bool = True
     _cache: dict = field(default_factory=dict)
 
     @property
@@ -265,7 +273,8 @@ class Audit:
     def profile(self) -> list[ColumnProfile]:
         if "profile" not in self._cache:
             wanted = self.patterns.is_id if self.ids_only else lambda column: True
-            self._cache["profile"] = decisive_profile(self.tables, wanted)
+            self._cache["profile"] = decisive_profile(
+                self.tables, wanted, keys=self.exact_keys, constants=self.exact_constants)
         return self._cache["profile"]
 
     def of(self, table: str) -> list[ColumnProfile]:
@@ -458,6 +467,8 @@ def _values(audit: Audit, kinds: set[str]) -> list[DataFrame]:
 WHOLE_ROW_KINDS = {"PK", "NO-PK", "CONSTANT", "NULLS"}
 PROFILE_KINDS = {"PK", "NO-PK", "CONSTANT", "NULLS", "NEAR-KEY", "CARTESIAN"}
 VALUE_KINDS = {"NEGATIVE", "RANGE", "FUTURE"}
+# Kinds that ask whether a column is a key.
+KEY_KINDS = {"PK", "NO-PK", "NEAR-KEY", "CARTESIAN", "FANOUT", "ORPHAN"}
 
 
 class OrphansFound(RuntimeError):
@@ -483,7 +494,9 @@ def audit_model(
     unknown = wanted - set(SEVERITY)
     if unknown:
         raise ValueError(f"unknown kinds of finding: {sorted(unknown)}")
-    audit = Audit(dict(tables), as_of, patterns, fk_map, ids_only=not wanted & WHOLE_ROW_KINDS)
+    audit = Audit(
+        dict(tables), as_of, patterns, fk_map, ids_only=not wanted & WHOLE_ROW_KINDS,
+        exact_keys=bool(wanted & KEY_KINDS), exact_constants="CONSTANT" in wanted)
     parts: list[DataFrame] = []
     if wanted & PROFILE_KINDS:
         parts.append(_from_profile(audit, wanted))
