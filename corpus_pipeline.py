@@ -18,6 +18,9 @@ from tradewind.llm.registry import tokenizer_file
 from tradewind.llm.set_join import one_per_class
 from tradewind.llm.token_files import tokens_of
 
+# Near copies of the stage: sets of five-word shingles that are equal to 80 %. The query op2 has its own.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -28,7 +31,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by near-equal shingle sets, the one with the smallest id stays."""
-    return one_per_class(docs)
+    return one_per_class(docs, k=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

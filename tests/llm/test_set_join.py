@@ -99,3 +99,17 @@ def test_components_of_chains_stars_and_loops(spark, seed):
 
 def test_no_edges(spark):
     assert components(spark.createDataFrame([(3, 3)], "a long, b long")).count() == 0
+
+
+def test_stage_links_near_copies(spark):
+    import corpus_pipeline
+
+    base = [f"w{i}" for i in range(100)]
+    # Three of 100 words: nine of 96 five-word shingles change, and seven of 98 three-word ones.
+    changed = [f"x{i}" if i in (1, 50, 98) else w for i, w in enumerate(base)]
+    # Changed words apart from each other and from the ends: 15 of 96 are too many.
+    far = [f"y{i}" if i in (20, 50, 80) else w for i, w in enumerate(base)]
+    rows = [(1, " ".join(base), "en", ""), (2, " ".join(changed), "en", ""), (3, " ".join(far), "en", "")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert sorted(r.doc_id for r in corpus_pipeline.one_of_each(spark, docs, "").collect()) == [1, 3]
+    assert sorted(r.doc_id for r in one_per_class(docs).collect()) == [1, 2, 3]

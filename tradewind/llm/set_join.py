@@ -1,6 +1,6 @@
 """Exact Jaccard join of shingle sets with index lists, block skipping and derived answers.
 
-A document's set holds the hashes of its distinct 3-word shingles. Two sets of x and y members
+A document's set holds the hashes of its distinct k-word shingles, 3 unless given. Two sets of x and y members
 are linked when their overlap o satisfies 100 * o >= percent * (x + y - o).
 
 * Index lists. The members of every set are put in one global order, common shingles last. Two
@@ -40,8 +40,8 @@ COMMON = 131_072
 COUNT_MEMBERS = 2_000_000
 COMMON_FROM = 8
 WORD_CACHE = 200_000
-# Lists in which a pair must meet. Different sets of under nine members are never linked at 90 %,
-# so linked ones always share that many.
+# Lists in which a pair must meet. Different linked sets share at least p / (1 - p) members: nine
+# at 90 %, four at 80 %, and this many at 75 % and above.
 MEETINGS = 3
 # Rounds in which lists are compared with their hub before all other pairs are.
 HUB_ROUNDS = 2
@@ -88,34 +88,38 @@ def fingerprint(members: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(members.tobytes()) if len(members) else b""
 
 
-def _counter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counter(k: int):
     """(shingle, documents) of the shingles that a task sees twice or more in its stretch."""
-    hashes, held, size = WordHashes(), [], 0
-
-    def counted():
-        value, count = np.unique(np.concatenate(held), return_counts=True)
-        often = count > 1
-        return pa.RecordBatch.from_arrays(
-            [pa.array(value[often].view(np.int64)), pa.array(count[often])], ["shingle", "n"])
-
-    for batch in batches:
-        for text in _texts(batch, 0):
-            held.append(shingle_set(text, hashes))
-            size += len(held[-1])
-            if size >= COUNT_MEMBERS:
-                yield counted()
-                held, size = [], 0
-    if held:
-        yield counted()
-
-
-def common_shingles(docs: DataFrame, most: int = COMMON) -> np.ndarray:
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, held, size = WordHashes(), [], 0
+
+        def counted():
+            value, count = np.unique(np.concatenate(held), return_counts=True)
+            often = count > 1
+            return pa.RecordBatch.from_arrays(
+                [pa.array(value[often].view(np.int64)), pa.array(count[often])], ["shingle", "n"])
+
+        for batch in batches:
+            for text in _texts(batch, 0):
+                held.append(shingle_set(text, hashes, k))
+                size += len(held[-1])
+                if size >= COUNT_MEMBERS:
+                    yield counted()
+                    held, size = [], 0
+        if held:
+            yield counted()
+
+    return run
+
+
+def common_shingles(docs: DataFrame, most: int = COMMON, k: int = WORDS) -> np.ndarray:
     """The most frequent shingles, rarest first: what the order puts last.
 
     Tasks report only shingles that repeat among their own documents, so little is shuffled;
     the counts are low estimates and decide the order only.
     """
-    counts = docs.select("text").mapInArrow(_counter, "shingle long, n long")
+    counts = docs.select("text").mapInArrow(_counter(k), "shingle long, n long")
     total = counts.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON_FROM)
     top = total.orderBy(F.desc("n"), "shingle").limit(most).select("shingle").toArrow()
     return top["shingle"].to_numpy()[::-1].astype(np.int64).view(np.uint64)
@@ -125,7 +129,7 @@ def prefix_length(size: int, percent: int = PERCENT) -> int:
     return min(size, size - -(-percent * size // 100) + MEETINGS)
 
 
-def _prefixes(common: np.ndarray, percent: int):
+def _prefixes(common: np.ndarray, percent: int, k: int):
     order = np.argsort(common, kind="stable")
     known, place = common[order], order
 
@@ -134,7 +138,7 @@ def _prefixes(common: np.ndarray, percent: int):
         for batch in batches:
             sizes, prints, prefixes = [], [], []
             for text in _texts(batch, 1):
-                members = shingle_set(text, hashes)
+                members = shingle_set(text, hashes, k)
                 length = prefix_length(len(members), percent)
                 if len(known) and len(members):
                     at = np.minimum(np.searchsorted(known, members), len(known) - 1)
@@ -158,16 +162,19 @@ def _prefixes(common: np.ndarray, percent: int):
     return run
 
 
-def _members(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
-    for batch in batches:
-        found = [shingle_set(t, hashes) for t in _texts(batch, 1)]
-        offsets = np.cumsum([0, *map(len, found)])
-        flat = np.concatenate(found) if found else np.empty(0, np.uint64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([fingerprint(x) for x in found], pa.binary()),
-             pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.view(np.int64)))],
-            ["id", "print", "members"])
+def _members(k: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            found = [shingle_set(t, hashes, k) for t in _texts(batch, 1)]
+            offsets = np.cumsum([0, *map(len, found)])
+            flat = np.concatenate(found) if found else np.empty(0, np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([fingerprint(x) for x in found], pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.view(np.int64)))],
+                ["id", "print", "members"])
+
+    return run
 
 
 def needed(x: Column, y: Column, percent: int) -> Column:
@@ -282,7 +289,7 @@ def not_excluded(met: DataFrame, blocked: DataFrame, answers: DataFrame, percent
         "a", "b")
 
 
-def shingle_classes(docs: DataFrame, *, percent: int = PERCENT, common: int = COMMON) -> DataFrame:
+def shingle_classes(docs: DataFrame, *, k: int = WORDS, percent: int = PERCENT, common: int = COMMON) -> DataFrame:
     """Per row of (doc_id, text): doc_id, n_shingles and component_id.
 
     component_id is the smallest doc_id that links reach, itself included. A null or empty text
@@ -290,10 +297,12 @@ def shingle_classes(docs: DataFrame, *, percent: int = PERCENT, common: int = CO
     component. Of rows that repeat a doc_id with different texts, the set with the smallest
     fingerprint stands for the document; all its rows share its component.
     """
+    if not 75 <= percent <= 100:
+        raise ValueError(f"linked sets share {MEETINGS} members at 75 to 100 percent only, not at {percent}")
     spark, docs = docs.sparkSession, docs.select("doc_id", "text")
-    late = common_shingles(docs, common)
+    late = common_shingles(docs, common, k)
     prefixes = stored(docs.mapInArrow(
-        _prefixes(late, percent), "doc_id long, n_shingles long, print binary, prefix array<long>"), "prefixes")
+        _prefixes(late, percent, k), "doc_id long, n_shingles long, print binary, prefix array<long>"), "prefixes")
     chosen = prefixes.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(
         F.min("print").alias("print"))
     # Equal sets are one: the smallest doc_id stands for all.
@@ -317,7 +326,7 @@ def shingle_classes(docs: DataFrame, *, percent: int = PERCENT, common: int = CO
             return sets
         ids = small_or_shuffled(ids)
         wanted = docs.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-        made = wanted.mapInArrow(_members, "id long, print binary, members array<long>").join(
+        made = wanted.mapInArrow(_members(k), "id long, print binary, members array<long>").join(
             ids, ["id", "print"], "left_semi").dropDuplicates(["id"])
         return sets.unionByName(stored(made.select("id", "members"), "members"))
 
@@ -355,14 +364,14 @@ def shingle_classes(docs: DataFrame, *, percent: int = PERCENT, common: int = CO
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def one_per_class(docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
+def one_per_class(docs: DataFrame, *, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Documents without those that are linked, directly or not, to one with a smaller doc_id.
 
     Columns as given. Rows that repeat the kept doc_id all stay, as do documents without words
     or without an id.
     """
     dropped = stored(
-        shingle_classes(docs, percent=percent).where("doc_id <> component_id")
+        shingle_classes(docs, k=k, percent=percent).where("doc_id <> component_id")
         .select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
     return docs.join(small_or_shuffled(dropped), F.expr("doc_id = _dropped"), "left_anti")
 
