@@ -90,6 +90,19 @@ def test_changed_parameters_are_leaks(spark):
     assert decontaminate.leaks(docs_of(spark, []), items).count() == 0
 
 
+def test_one_changed_value_leaves_other_windows(spark):
+    item = "a train leaves the old station at 40 km per hour and Anna waits 40 minutes near the long bridge for it"
+    first = item.replace("40", "75", 1)
+    rows = [(1, item, "a"), (3, first, "a"), (4, first.replace("40", "62"), "a")]
+    items = spark.createDataFrame([(9, item)], "item_id long, text string")
+    found = {r.doc_id: r for r in decontaminate.leaks(docs_of(spark, rows), items).collect()}
+    assert set(found) == {1, 3, 4} and found[1].n_matched == found[1].n_windows and found[1].verbatim
+    # The second place's value wins the tie or is dropped itself; windows of the other place do not count.
+    assert found[1].n_windows > found[3].n_matched >= found[1].n_windows // 2
+    left = decontaminate.without_leaks(docs_of(spark, rows), items)
+    assert left.count() == 0
+
+
 def test_toxicity_generalises(spark):
     rng = random.Random(3)
     calm = ["river", "stone", "window", "garden", "paper", "morning", "bridge", "winter"]

@@ -4,8 +4,10 @@ Texts become templates: numbers, the units after them, and names are replaced by
 their type, the rest is lower-cased without punctuation. A window of five template words that
 an item and a document share is found by a hash join. For each item, document and alignment
 (distance of the two places), the values that stood where the marks are must correspond: the
-same value of the item always to the same value of the document. That keeps questions whose
-parameters were exchanged, and drops windows that agree by their form only.
+same value of the item always to the same value of the document. Where they conflict, the value
+of the document at most places stands for the item's value, and only windows that hold another
+one are dropped. That keeps questions whose parameters were exchanged, and drops windows that
+agree by their form only.
 """
 
 from __future__ import annotations
@@ -71,11 +73,42 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
     return found.join(sizes, F.expr("item_id <=> _item")).drop("_item")
 
 
+def consistent_windows(aligned: DataFrame) -> DataFrame:
+    """Alignments with `places` of their windows without a conflicting value, and with those windows' `values`.
+
+    An item's value stands for the document's value at most places of the alignment, of equally
+    frequent ones for the smallest. Windows without slots (`free`) always count.
+    """
+    aligned = aligned.withColumn("pairs", F.array_distinct(F.flatten(F.col("slotted.pairs"))))
+    aligned = aligned.withColumn("values", F.array_distinct(F.transform("pairs", lambda p: p.dropFields("at"))))
+    agrees = F.size(F.array_distinct(F.col("values.item"))) == F.size("values")
+
+    def places_of(v: Column) -> Column:
+        return F.size(F.filter("pairs", lambda p: (p.getField("item") == v.getField("item")) & (p.getField("doc") == v.getField("doc"))))
+
+    def loses(v: Column) -> Column:
+        return F.exists("ranked", lambda o: (o.getField("item") == v.getField("item")) & (
+            (o.getField("n") > v.getField("n")) | ((o.getField("n") == v.getField("n")) & (o.getField("doc") < v.getField("doc")))))
+
+    ranked = F.transform("values", lambda v: F.struct(
+        v.getField("item").alias("item"), v.getField("doc").alias("doc"), places_of(v).alias("n")))
+    aligned = aligned.withColumn("ranked", F.when(~agrees, ranked))
+    lost = F.transform(F.filter("ranked", loses), lambda v: F.struct(v.getField("item").alias("item"), v.getField("doc").alias("doc")))
+    aligned = aligned.withColumn("lost", F.when(~agrees, lost))
+    kept = F.when(F.col("lost").isNull(), F.col("slotted")).otherwise(F.filter("slotted", lambda w: ~F.exists(
+        w.getField("pairs"), lambda p: F.array_contains("lost", p.dropFields("at")))))
+    aligned = aligned.withColumn("kept", kept)
+    values = F.when(F.col("lost").isNull(), F.col("values")).otherwise(F.array_distinct(
+        F.transform(F.flatten(F.col("kept.pairs")), lambda p: p.dropFields("at"))))
+    return aligned.select(
+        "doc_id", "item_id", "n_windows", F.array_union("free", F.col("kept.place")).alias("places"), values.alias("values"))
+
+
 def leaks(docs: DataFrame, items: DataFrame, *, coverage: float = COVERAGE) -> DataFrame:
     """Pairs of a document and a benchmark item it contains.
 
     Per pair: doc_id, item_id, n_windows of the item, n_matched (different windows of the item
-    that lie in consistent alignments), n_slots (different values that correspond) and verbatim
+    without a conflicting value), n_slots (different values that correspond) and verbatim
     (all of them equal). Only pairs with n_matched >= coverage * n_windows.
 
     The documents' windows meet the items' in a hash join: the items are broadcast if counted
@@ -86,18 +119,18 @@ def leaks(docs: DataFrame, items: DataFrame, *, coverage: float = COVERAGE) -> D
     index = small_or_shuffled(stored(benchmark_windows(items), "windows").select(
         "item_id", "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"), "n_windows"))
     met = windows(docs.select("doc_id", "text"), "doc_id").join(index, "hash")
-    values = F.array_distinct(F.filter(
-        F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc")),
-        lambda p: _is_slot(p.getField("item"))))
-    values = F.coalesce(values, F.array().cast("array<struct<item:string,doc:string>>"))
+    # (place in the item, value of the item, value of the document) of the window's slots.
+    pairs = F.filter(F.transform("item_slots", lambda w, k: F.struct(
+        (F.col("item_place") + k).alias("at"), w.alias("item"), F.get("slots", k).alias("doc"))),
+        lambda p: _is_slot(p.getField("item")))
     aligned = met.select(
-        "doc_id", "item_id", "n_windows", "item_place", (F.col("place") - F.col("item_place")).alias("shift"),
-        values.alias("values"),
+        "doc_id", "item_id", "n_windows", (F.col("place") - F.col("item_place")).alias("shift"),
+        F.when(F.col("item_slots").isNull(), F.col("item_place")).alias("free"),
+        F.when(F.col("item_slots").isNotNull(), F.struct(F.col("item_place").alias("place"), pairs.alias("pairs"))).alias("slotted"),
     ).groupBy("doc_id", "item_id", "n_windows", "shift").agg(
-        F.collect_set("item_place").alias("places"),
-        F.array_distinct(F.flatten(F.collect_list("values"))).alias("values"))
-    consistent = F.size(F.array_distinct(F.transform("values", lambda p: p.getField("item")))) == F.size("values")
-    return aligned.where(consistent).groupBy("doc_id", "item_id", "n_windows").agg(
+        F.collect_set("free").alias("free"), F.collect_set("slotted").alias("slotted"))
+    aligned = consistent_windows(aligned)
+    return aligned.groupBy("doc_id", "item_id", "n_windows").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_matched"),
         F.array_distinct(F.flatten(F.collect_list("values"))).alias("values"),
     ).where(F.col("n_matched") >= F.lit(coverage) * F.col("n_windows")).select(
