@@ -103,6 +103,16 @@ def test_one_changed_value_leaves_other_windows(spark):
     assert left.count() == 0
 
 
+def test_items_without_templates_match_verbatim(spark):
+    texts = {9: "What is photosynthesis exactly?", 10: "2 + 2 = 4", 11: "Anna Bob Carl Dora Emil Fritz", 12: "", 13: None}
+    items = spark.createDataFrame(list(texts.items()), "item_id long, text string")
+    rows = [(1, "they asked What is photosynthesis exactly and left", "a"), (2, "so 2 + 2 = 4 it is", "a"), (3, "so 2 + 3 = 5 it is", "a"),
+            (4, "we met Anna Bob Carl Dora Emil Fritz there", "a"), (5, "we met Paul Bob Kurt Dora Ernst Fritz there", "a"),
+            (6, "what is photosynthesis not exactly", "a"), (7, "", "a"), (8, None, "a")]
+    found = [(r.doc_id, r.item_id) for r in decontaminate.leaks(docs_of(spark, rows), items).collect()]
+    assert sorted(found) == [(1, 9), (2, 10), (4, 11)]
+
+
 def test_toxicity_generalises(spark):
     rng = random.Random(3)
     calm = ["river", "stone", "window", "garden", "paper", "morning", "bridge", "winter"]

@@ -7,11 +7,14 @@ an item and a document share is found by a hash join. For each item, document an
 same value of the item always to the same value of the document. Where they conflict, the value
 of the document at most places stands for the item's value, and only windows that hold another
 one are dropped. That keeps questions whose parameters were exchanged, and drops windows that
-agree by their form only.
+agree by their form only. Items that are shorter than a window, or have windows with too few plain
+words for a template, are also compared word by word with their values.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,8 +49,17 @@ def _is_slot(word: Column) -> Column:
     return word.startswith(NUMBER) | word.startswith(NAME) | word.startswith(UNIT)
 
 
-def windows(frame: DataFrame, key: str) -> DataFrame:
-    """(key, hash, place, slots): template windows; slots are the window's words if any is marked."""
+def _exact_hash(words_: Column, i: Column, length: Column | int) -> Column:
+    """Hash of words with their values. The marks go: whether a name gets one depends on what stands before it."""
+    return F.xxhash64(F.lit("exact"), F.transform(
+        F.slice(words_, i + 1, length), lambda w: F.when(_is_slot(w), F.substr(w, F.lit(2))).otherwise(w)))
+
+
+def windows(frame: DataFrame, key: str, exact: Sequence[int] = ()) -> DataFrame:
+    """(key, hash, place, slots): template windows; slots are the window's words if any is marked.
+
+    For each length in `exact`, all windows of so many words with their values follow, without slots.
+    """
     frame = once(frame.select(key, "text"), _marked=marked_words(F.col("text"))).select(key, "_marked")
     frame = once(frame, _slotted=F.transform("_marked", _is_slot))
     frame = once(frame, _template=F.transform(
@@ -61,20 +73,49 @@ def windows(frame: DataFrame, key: str) -> DataFrame:
         slots = F.when(F.col("_any"), F.slice("_marked", i + 1, WINDOW))
         return F.struct(hashed.alias("hash"), i.alias("place"), F.when(F.exists(slots, _is_slot), slots).alias("slots"))
 
-    return frame.select(key, F.inline(F.transform(starts, window)))
+    def exact_windows_of(n: int) -> Column:
+        at = F.when(size >= n, F.sequence(F.lit(0), size - n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(at, lambda i: F.struct(
+            _exact_hash(F.col("_marked"), i, n).alias("hash"), i.alias("place"),
+            F.lit(None).cast("array<string>").alias("slots")))
+
+    found = F.transform(starts, window)
+    if exact:
+        found = F.concat(found, *[exact_windows_of(n) for n in exact])
+    return frame.select(key, F.inline(found))
+
+
+def exact_windows(items: DataFrame) -> DataFrame:
+    """(item_id, hash, place, length) of items that templates do not cover, all windows with their values.
+
+    These are the items of under five words, as one window, and those with a window of too few plain words.
+    """
+    frame = once(items.select("item_id", "text"), _marked=marked_words(F.col("text"))).where(F.size("_marked") > 0)
+    length, size = F.least(F.size("_marked"), F.lit(WINDOW)), F.size("_marked")
+    frame = once(frame, _starts=F.sequence(F.lit(0), size - length))
+    few = F.exists("_starts", lambda i: WINDOW - F.size(F.filter(F.slice("_marked", i + 1, WINDOW), _is_slot)) < MIN_PLAIN)
+    return frame.where((size < WINDOW) | few).select("item_id", length.alias("length"), F.inline(F.transform(
+        "_starts", lambda i: F.struct(_exact_hash(F.col("_marked"), i, length).alias("hash"), i.alias("place")))))
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
-    """(item_id, hash, place, slots, n_windows) of all items. Items under five words have none."""
+    """(item_id, hash, place, slots, n_windows, length, n_exact) of all items with words.
+
+    Rows of template windows have no length, those of exact ones have one. n_windows and n_exact
+    count the item's windows of either kind.
+    """
     found = windows(items.select("item_id", "text"), "item_id")
     plain = F.size(F.filter(F.coalesce("slots", F.array().cast("array<string>")), _is_slot))
-    found = found.where(WINDOW - plain >= MIN_PLAIN)
-    sizes = found.groupBy(F.col("item_id").alias("_item")).agg(F.count_distinct("place").alias("n_windows"))
+    found = found.where(WINDOW - plain >= MIN_PLAIN).withColumn("length", F.lit(None).cast("int")).unionByName(
+        exact_windows(items).withColumn("slots", F.lit(None).cast("array<string>")))
+    sizes = found.groupBy(F.col("item_id").alias("_item")).agg(
+        F.count_distinct(F.when(F.col("length").isNull(), F.col("place"))).alias("n_windows"),
+        F.count_distinct(F.when(F.col("length").isNotNull(), F.col("place"))).alias("n_exact"))
     return found.join(sizes, F.expr("item_id <=> _item")).drop("_item")
 
 
 def consistent_windows(aligned: DataFrame) -> DataFrame:
-    """Alignments with `places` of their windows without a conflicting value, and with those windows' `values`.
+    """Alignments with their `exact` places, with `places` of their windows without a conflicting value, and with those windows' `values`.
 
     An item's value stands for the document's value at most places of the alignment, of equally
     frequent ones for the smallest. Windows without slots (`free`) always count.
@@ -101,7 +142,8 @@ def consistent_windows(aligned: DataFrame) -> DataFrame:
     values = F.when(F.col("lost").isNull(), F.col("values")).otherwise(F.array_distinct(
         F.transform(F.flatten(F.col("kept.pairs")), lambda p: p.dropFields("at"))))
     return aligned.select(
-        "doc_id", "item_id", "n_windows", F.array_union("free", F.col("kept.place")).alias("places"), values.alias("values"))
+        "doc_id", "item_id", "n_windows", "n_exact", "exact", F.array_union("free", F.col("kept.place")).alias("places"),
+        values.alias("values"))
 
 
 def leaks(docs: DataFrame, items: DataFrame, *, coverage: float = COVERAGE) -> DataFrame:
@@ -109,32 +151,46 @@ def leaks(docs: DataFrame, items: DataFrame, *, coverage: float = COVERAGE) -> D
 
     Per pair: doc_id, item_id, n_windows of the item, n_matched (different windows of the item
     without a conflicting value), n_slots (different values that correspond) and verbatim
-    (all of them equal). Only pairs with n_matched >= coverage * n_windows.
+    (all of them equal). Only pairs with n_matched >= coverage * n_windows, counted over template
+    windows or, if those are too few and the item has exact windows, over its windows of both kinds.
+    n_slots counts values in template windows only.
 
     The documents' windows meet the items' in a hash join: the items are broadcast if counted
     small and shuffled otherwise, and what a document shares with an item is summed up before
     it is shuffled. Null or empty texts have no windows. Rows that repeat a doc_id count as one
     document; documents without an id are reported together under null.
     """
-    index = small_or_shuffled(stored(benchmark_windows(items), "windows").select(
-        "item_id", "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"), "n_windows"))
-    met = windows(docs.select("doc_id", "text"), "doc_id").join(index, "hash")
+    found = stored(benchmark_windows(items), "windows")
+    lengths = [r.length for r in found.where("length is not null").select("length").distinct().collect()]
+    index = small_or_shuffled(found.select(
+        "item_id", "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"), "n_windows", "n_exact",
+        F.col("length").isNotNull().alias("is_exact")))
+    met = windows(docs.select("doc_id", "text"), "doc_id", lengths).join(index, "hash")
     # (place in the item, value of the item, value of the document) of the window's slots.
     pairs = F.filter(F.transform("item_slots", lambda w, k: F.struct(
         (F.col("item_place") + k).alias("at"), w.alias("item"), F.get("slots", k).alias("doc"))),
         lambda p: _is_slot(p.getField("item")))
     aligned = met.select(
-        "doc_id", "item_id", "n_windows", (F.col("place") - F.col("item_place")).alias("shift"),
-        F.when(F.col("item_slots").isNull(), F.col("item_place")).alias("free"),
+        "doc_id", "item_id", "n_windows", "n_exact", (F.col("place") - F.col("item_place")).alias("shift"),
+        F.when(F.col("item_slots").isNull() & ~F.col("is_exact"), F.col("item_place")).alias("free"),
+        F.when(F.col("is_exact"), F.col("item_place")).alias("exact"),
         F.when(F.col("item_slots").isNotNull(), F.struct(F.col("item_place").alias("place"), pairs.alias("pairs"))).alias("slotted"),
-    ).groupBy("doc_id", "item_id", "n_windows", "shift").agg(
-        F.collect_set("free").alias("free"), F.collect_set("slotted").alias("slotted"))
-    aligned = consistent_windows(aligned)
-    return aligned.groupBy("doc_id", "item_id", "n_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_matched"),
-        F.array_distinct(F.flatten(F.collect_list("values"))).alias("values"),
-    ).where(F.col("n_matched") >= F.lit(coverage) * F.col("n_windows")).select(
-        "doc_id", "item_id", "n_windows", "n_matched", F.size("values").cast("long").alias("n_slots"),
+    ).groupBy("doc_id", "item_id", "n_windows", "n_exact", "shift").agg(
+        F.collect_set("free").alias("free"), F.collect_set("slotted").alias("slotted"),
+        (F.collect_set("exact") if lengths else F.array().cast("array<int>")).alias("exact"))
+
+    def different(places: Column) -> Column:
+        return F.size(F.array_distinct(F.flatten(F.collect_list(places)))).cast("long")
+
+    pairs = consistent_windows(aligned).groupBy("doc_id", "item_id", "n_windows", "n_exact").agg(
+        different(F.col("places")).alias("n_matched"), different(F.array_union("places", "exact")).alias("n_both"),
+        F.array_distinct(F.flatten(F.collect_list("values"))).alias("values"))
+    by_template = (F.col("n_windows") > 0) & (F.col("n_matched") >= F.lit(coverage) * F.col("n_windows"))
+    by_both = (F.col("n_exact") > 0) & (F.col("n_both") >= F.lit(coverage) * F.col("n_exact"))
+    return pairs.where(by_template | by_both).select(
+        "doc_id", "item_id", F.when(by_template, F.col("n_windows")).otherwise(F.col("n_exact")).alias("n_windows"),
+        F.when(by_template, F.col("n_matched")).otherwise(F.col("n_both")).alias("n_matched"),
+        F.size("values").cast("long").alias("n_slots"),
         F.forall("values", lambda p: p.getField("item") == p.getField("doc")).alias("verbatim"))
 
 
