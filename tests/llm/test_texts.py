@@ -123,6 +123,26 @@ def test_tagger_learns_other_ways_of_writing(spark):
     assert [s[0] for s in found[0]] == ["phone_tagged"] and not found[1]
 
 
+def test_stretches_hold_whole_addresses(spark):
+    forms = ("write to jane.doe(at)example.com please", "jane.doe.accounting.office @ department.example.org")
+    assert [[forms[0][a:b] for a, b in private.stretches(forms[0])]] == [[forms[0]]]
+    assert [forms[1][a:b] for a, b in private.stretches(forms[1])] == [forms[1]]
+    assert private.stretches("no trigger here") == []
+    long = "x" * 100 + "@" + "y" * 100 + " " * 60 + "z 7 z"
+    assert [long[a:b] for a, b in private.stretches(long)] == ["x" * 100 + "@" + "y" * 100, " " * 14 + "z 7 z"]
+    for text in ("a" * 300_000 + "@", "a@" * 60_000, "(at)" * 60_000, ("b" * 40 + " 1") * 8_000):
+        private.stretches(text)
+    rng = np.random.default_rng(2)
+    names = ["jane", "doe", "office", "mark", "accounting", "sales", "ann", "department", "example", "mail"]
+    texts = []
+    for i in range(400):
+        a, b, c, d = rng.choice(names, 4)
+        texts.append((i, f"write to {a}.{b}@{c}.com please" if i % 2 else f"{a}.{b}.{c} has {i} seats", "", ""))
+    model = private.fit(spark.createDataFrame(texts, SCHEMA))
+    found = private.scan(list(forms), model)
+    assert [[f[s[1]:s[2]] for s in spans] for f, spans in zip(forms, found)] == [["jane.doe(at)example.com"], [forms[1]]]
+
+
 @pytest.fixture(scope="module")
 def encoder():
     return token_files.Encoder(tokenizer_file())

@@ -2,8 +2,8 @@
 
 The tagger learns from spans that the base patterns label in a bounded sample, and from the
 same spans rewritten (a telephone number without its country sign, other separators). It reads
-the surroundings of every digit and at-sign of every text, in overlapping windows; their
-scores are averaged where windows overlap and each stretch is decoded as a whole.
+the surroundings of every digit, at-sign and "(at)" of every text, out to the ends of the runs of
+address characters there, in overlapping windows; their scores are averaged where windows overlap and each stretch is decoded as a whole.
 """
 
 from __future__ import annotations
@@ -33,7 +33,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 METHOD_KINDS = tuple(f"{k}_tagged" for k in KINDS)
 
 AROUND, WINDOW, STRIDE = 16, 48, 24
-TRIGGER = re.compile(r"[0-9@]")
+TRIGGER = re.compile(r"[0-9@]|\(at\)")
+RUN = re.compile(r"[A-Za-z0-9._%+-]*+")
 # The bound of the training sample: stretches of text, chosen by hash.
 TRAIN_STRETCHES = 1_000
 TAGS = 1 + 2 * len(KINDS)
@@ -90,11 +91,21 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Surroundings of digits and at-signs, joined where they meet. All kinds need one of these."""
+    """Surroundings of digits, at-signs and "(at)", with whole runs of address characters, joined where they meet.
+
+    All kinds, and all ways of writing that `rewritten` makes, need one of these.
+    """
     out: list[list[int]] = []
     for m in TRIGGER.finditer(text):
         a, b = max(0, m.start() - AROUND), min(len(text), m.end() + AROUND)
-        if out and a <= out[-1][1]:
+        done = out[-1][1] if out else 0
+        if b <= done:
+            continue
+        b = RUN.match(text, b).end() if text[b - 1] in LOCAL else b
+        # No run goes on beyond the last end, so each character is looked at once.
+        while a > done and text[a - 1] in LOCAL and text[a] in LOCAL:
+            a -= 1
+        if out and a <= done:
             out[-1][1] = b
         else:
             out.append([a, b])
