@@ -143,6 +143,16 @@ def test_stretches_hold_whole_addresses(spark):
     assert [[f[s[1]:s[2]] for s in spans] for f, spans in zip(forms, found)] == [["jane.doe(at)example.com"], [forms[1]]]
 
 
+def test_copies_count_once_in_training(spark):
+    texts = [(i, "room 7 is closed", "", "") for i in range(5_000)]
+    texts += [(9_000 + i, f"please call +1 (415) 555-{1000 + i} soon", "", "") for i in range(60)]
+    texts += [(9_900 + i, f"seat {i} of row b", "", "") for i in range(60)]
+    rows = private.training_rows(spark.createDataFrame(texts, SCHEMA), 100)
+    assert len(rows) == len({r.stretch for r in rows}) == 100 and sum(bool(r.labels) for r in rows) == 50
+    assert private.fit(spark.createDataFrame(texts, SCHEMA), most=100) is not None
+    assert private.training_rows(spark.createDataFrame(texts[:0], SCHEMA)) == []
+
+
 @pytest.fixture(scope="module")
 def encoder():
     return token_files.Encoder(tokenizer_file())

@@ -8,16 +8,18 @@ address characters there, in overlapping windows; their scores are averaged wher
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tradewind.llm import tagger
-from tradewind.llm.common import ship
+from tradewind.llm.common import ship, stored
 from tradewind.llm.spans import Span, find_spans
 
 ship(__name__)
@@ -35,7 +37,7 @@ METHOD_KINDS = tuple(f"{k}_tagged" for k in KINDS)
 AROUND, WINDOW, STRIDE = 16, 48, 24
 TRIGGER = re.compile(r"[0-9@]|\(at\)")
 RUN = re.compile(r"[A-Za-z0-9._%+-]*+")
-# The bound of the training sample: stretches of text, chosen by hash.
+# The bound of the training sample: different stretches of text, chosen by hash, half of them with base spans.
 TRAIN_STRETCHES = 1_000
 TAGS = 1 + 2 * len(KINDS)
 CONFIDENCE = 0.8
@@ -149,28 +151,53 @@ def windows_of(length: int) -> list[int]:
     return [*range(0, length - WINDOW, STRIDE), length - WINDOW]
 
 
-def _labelled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for text in batch.column(0).to_pylist():
-            if not text or not TRIGGER.search(text):
-                continue
-            spans = base_spans(text)
-            for a, b in stretches(text):
-                inside = [(k, s - a, e - a) for k, s, e in spans if s < b and e > a]
-                cut = [(k, max(0, s), min(b - a, e)) for k, s, e in inside]
-                b = min(b, a + 8 * WINDOW)
-                rows.append((text[a:b], [f"{k}:{s}:{e}" for k, s, e in cut if e <= b - a]))
+def _labelled(most: int):
+    """Different stretches with labels, and those without: of each the `most` least by hash."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[set, set] = (set(), set())
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if not text or not TRIGGER.search(text):
+                    continue
+                spans = base_spans(text)
+                for a, b in stretches(text):
+                    inside = [(k, s - a, e - a) for k, s, e in spans if s < b and e > a]
+                    cut = [(k, max(0, s), min(b - a, e)) for k, s, e in inside]
+                    b = min(b, a + 8 * WINDOW)
+                    labels = tuple(f"{k}:{s}:{e}" for k, s, e in cut if e <= b - a)
+                    mine = held[bool(labels)]
+                    mine.add((xxhash.xxh3_64_intdigest(text[a:b]) >> 1, text[a:b], labels))
+                    if len(mine) > 4 * most:
+                        least = heapq.nsmallest(most, mine)
+                        mine.clear()
+                        mine.update(least)
+        rows = [r for mine in held for r in heapq.nsmallest(most, mine)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.string()))],
-            ["stretch", "labels"])
+            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()),
+             pa.array([list(r[2]) for r in rows], pa.list_(pa.string()))], ["hash", "stretch", "labels"])
+
+    return run
+
+
+def training_rows(docs: DataFrame, most: int = TRAIN_STRETCHES) -> list[Row]:
+    """At most `most` different (stretch, labels), half of them with labels and half without, by hash.
+
+    A stretch that many texts repeat counts once. Tasks hand on the least hashes only, which hold
+    the least of all.
+    """
+    half = -(-most // 2)
+    found = stored(docs.select("text").mapInArrow(
+        _labelled(half), "hash long, stretch string, labels array<string>").groupBy("stretch", "labels").agg(
+            F.min("hash").alias("hash")), "stretches")
+    order = ("hash", "stretch", "labels")
+    return [row for bound, kind in ((half, F.size("labels") > 0), (most - half, F.size("labels") == 0))
+            for row in found.where(kind).orderBy(*order).limit(bound).collect()]
 
 
 def fit(docs: DataFrame, *, most: int = TRAIN_STRETCHES, seed: int = 7) -> tagger.Tagger | None:
-    """Trains on at most `most` stretches; None if no text has any labelled span."""
-    rows = (
-        docs.select("text").mapInArrow(_labelled, "stretch string, labels array<string>")
-        .orderBy(F.xxhash64("stretch"), "stretch").limit(most).collect())
+    """Trains on at most `most` different stretches; None if no text has any labelled span."""
+    rows = training_rows(docs, most)
     codes, gold = [], []
     for i, row in enumerate(rows):
         spans = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in row["labels"])]
