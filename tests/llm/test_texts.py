@@ -84,6 +84,23 @@ def test_lexing_follows_names():
     assert [split[s[1]:s[2]] for s in secrets.scan(split)] == ["aB3dE", "9kLmN2"]
 
 
+def test_sums_are_read_to_their_end():
+    def literals(text):
+        return [text[s[1]:s[2]] for s in secrets.scan(text) if s[0] == "literal"]
+
+    parts = [f"{c}{i}" for i, c in enumerate("aBcDeFgHiJkLmNoPqRsTuVwX")]
+    assert literals("client_key = " + " + ".join(f'"{p}"' for p in parts)) == parts
+    for joint in (" +\n  ", "\n    + ", " + \\\n", " +\r\n"):
+        assert literals(f'client_key = "aB3dE"{joint}"9kLmN2"\n') == ["aB3dE", "9kLmN2"]
+    assert literals("client_key" + " " * 500 + '= "aB3dE9kLmN2"') == ["aB3dE9kLmN2"]
+    # Lines of a patch, and the next line without a plus, belong to no sum.
+    assert not literals('client_key = "aB3dE"\n+other = "9kLmN2"') and not literals('client_key = "aB3dE"\n"9kLmN2"')
+    assert literals('client_key = "aB3dE9kLmN2"\n+"color": "q7Rk29ZtLm41"') == ["aB3dE9kLmN2"]
+    for text in ("a=b+" * 60_000, "token=a+" * 30_000, "= " * 100_000, "token = " + '"a1" + ' * 60_000, "key" + " " * 200_000 + "=",
+                 "token=x" + "+y" * 100_000, "a = '" * 40_000, "token = a\n+" * 30_000):
+        secrets.scan(text)
+
+
 def test_span_queries(spark):
     rows = [(1, None, "", ""), (2, "", "", ""), (None, "token=abcdef12", "", ""), (3, "x" * 300_000, "", ""), (1, None, "", "")]
     docs = spark.createDataFrame(rows, SCHEMA)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter, defaultdict, deque
 
 from pyspark.sql import DataFrame
 
@@ -44,10 +44,20 @@ PLACEHOLDER = re.compile(
     re.I)
 OPERATOR = re.compile(r":=|=>|[:=]")
 NAME_END = re.compile(r"[A-Za-z_$][\w$.-]*$", re.A)
+NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_$.-")
+# A quoted literal on one line, and what follows one that is a key.
+QUOTED = {q: re.compile(rf"{q}(?:[^{q}\\\n]|\\[\s\S])*+{q}") for q in "\"'`"}
+QUOTED_KEY = re.compile(r"[ \t]*+(?::=|=>|[:=])")
 NAME = re.compile(r"[A-Za-z_$][\w$.]*", re.A)
 BARE = re.compile(r"[^\s,;#'\"()<>{}\[\]+]+")
-LEFT = 120
-TERMS = 16
+BLANKS = re.compile(r"[ \t]*+")
+# After a plus, and before one: blanks and at most one line end.
+AFTER_PLUS = re.compile(r"[ \t]*+(?:\\?\r?\n[ \t]*+)?")
+PLUS = re.compile(r"[ \t]*+(\\?\r?\n[ \t]*+)?\+")
+# A line that starts with a plus and an assignment is a line of a patch.
+ASSIGNS = re.compile(r"[A-Za-z_$][\w$.-]*+[\"'`]?[ \t]*+(?::=|=>|[:=])(?![=\s]*+$)", re.A | re.M)
+# Terms that a sum within a bare term has at least before a further one within a bare term ends it.
+INNER_TERMS = 16
 
 
 def name_words(name: str) -> list[str]:
@@ -79,53 +89,64 @@ def value_score(value: str, quoted: bool) -> float:
 
 def _target(text: str, at: int) -> str | None:
     """The name that ends before an operator, without quotes or brackets."""
-    left = text[max(0, at - LEFT):at].rstrip(" \t").rstrip("\"'])")
-    found = NAME_END.search(left.rpartition("\n")[2])
+    while at and text[at - 1] in " \t":
+        at -= 1
+    while at and text[at - 1] in "\"'])":
+        at -= 1
+    start = at
+    while start and text[start - 1] in NAME_CHARS:
+        start -= 1
+    found = NAME_END.search(text[start:at])
     return found[0] if found else None
 
 
-def _terms(text: str, at: int) -> list[tuple[str, int, int, bool]]:
-    """Terms of the right side: (text, start, end, quoted), joined by + on one line."""
-    out, size = [], len(text)
-    for _ in range(TERMS):
-        while at < size and text[at] in " \t":
-            at += 1
-        if at >= size or text[at] == "\n":
-            break
+def _terms(text: str, at: int, inner: bool = False) -> list[tuple[str, int, int, bool]]:
+    """Terms of the right side: (text, start, end, quoted), joined by +, also where a line ends beside it.
+
+    `inner` tells that the operator stands in a bare term of another sum, whose terms these are
+    too. So that each term is read a bounded number of times, such a sum of many terms ends with
+    a bare term that holds an operator itself.
+    """
+    out, size, new_line = [], len(text), False
+    at = BLANKS.match(text, at).end()
+    while at < size and text[at] != "\n":
         if text[at] in "\"'`":
-            end = at + 1
-            while end < size and text[end] != text[at] and text[end] != "\n":
-                end += 2 if text[end] == "\\" else 1
-            if end >= size or text[end] != text[at]:
+            found = QUOTED[text[at]].match(text, at)
+            if not found:
                 break
-            out.append((text[at + 1:end], at + 1, end, True))
-            at = end + 1
+            if new_line and QUOTED_KEY.match(text, found.end()):
+                break
+            out.append((text[at + 1:found.end() - 1], at + 1, found.end() - 1, True))
+            at = found.end()
         else:
             found = BARE.match(text, at)
-            if not found:
+            if not found or new_line and ASSIGNS.match(text, at):
                 break
             out.append((found[0], found.start(), found.end(), False))
             at = found.end()
-        while at < size and text[at] in " \t":
-            at += 1
-        if at >= size or text[at] != "+":
+            if inner and len(out) >= INNER_TERMS and OPERATOR.search(found[0]):
+                break
+        plus = PLUS.match(text, at)
+        if not plus:
             break
-        at += 1
+        new_line = plus[1] is not None
+        at = AFTER_PLUS.match(text, plus.end()).end()
     return out
 
 
 def lex_pairs(text: str) -> list[tuple[str, list[tuple[str, int, int, bool]]]]:
     """Name and right-hand terms of every assignment-like place of a text."""
-    pairs, end = [], 0
+    pairs, end, read = [], 0, 0
     for found in OPERATOR.finditer(text):
         if found.start() < end:
             continue
         name = _target(text, found.start())
         if name is None:
             continue
-        terms = _terms(text, found.end())
+        terms = _terms(text, found.end(), found.start() < read)
         if terms:
             pairs.append((name, terms))
+            read = max(read, terms[-1][2])
             # What stands inside a quoted literal is no operator.
             end = max((t[2] for t in terms if t[3]), default=0)
     return pairs
@@ -142,18 +163,18 @@ def literal_spans(text: str) -> list[tuple[int, int, str, float]]:
         weight = name_score(name)
         if weight <= 0:
             continue
-        seen, queue, parts = {name}, list(terms), []
+        seen, queue, parts = {name}, deque(terms), []
         while queue:
-            value, start, end, quoted = queue.pop(0)
+            value, start, end, quoted = queue.popleft()
             if not quoted and NAME.fullmatch(value) and value in assigned:
                 if value not in seen:
                     seen.add(value)
-                    queue = [t for ts in assigned[value] for t in ts] + queue
+                    queue.extendleft(reversed([t for ts in assigned[value] for t in ts]))
             else:
                 parts.append((value, start, end, quoted))
-        whole = "".join(p[0] for p in parts)
+        whole = value_score("".join(p[0] for p in parts), True) if len(parts) > 1 and any(p[3] for p in parts) else 0
         for value, start, end, quoted in parts:
-            score = weight * max(value_score(value, quoted), value_score(whole, quoted) if len(parts) > 1 and quoted else 0)
+            score = weight * max(value_score(value, quoted), whole if quoted else 0)
             if score >= THRESHOLD and score > best.get((start, end), (0, ""))[0]:
                 best[start, end] = (score, name)
     return [(s, e, name, score) for (s, e), (score, name) in best.items()]
