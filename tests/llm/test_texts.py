@@ -232,3 +232,14 @@ def test_archive_pages(spark):
         1: ("response", None), 3: ("revisit", 1), 2: ("response", None), 4: ("response", None), 5: ("response", None), None: ("response", None)}
     assert found[3].payload_bytes == len(big) and found[3].payload_digest == hashlib.sha256(big.encode()).hexdigest()
     assert archives.archive_pages(pages.limit(0)).count() == 0
+
+
+def test_one_page_id_with_two_payloads(spark):
+    one, two, three = "a" * 150, "b" * 150, "c" * 150
+    rows = [(1, "u", one), (2, "u", two), (3, "u", one), (3, "u", two), (3, "u", three), (3, "u", "tiny")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = [(r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in archives.archive_pages(pages).collect()]
+    digest = {t: hashlib.sha256(t.encode()).hexdigest() for t in (one, two, three, "tiny")}
+    assert sorted(found, key=str) == sorted([
+        (1, digest[one], "response", None), (2, digest[two], "response", None), (3, digest[one], "revisit", 1),
+        (3, digest[two], "revisit", 2), (3, digest[three], "response", None), (3, digest["tiny"], "response", None)], key=str)

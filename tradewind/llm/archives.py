@@ -15,7 +15,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import scratch_path, ship, small_or_shuffled, stored
@@ -166,9 +166,9 @@ def _http_body(key: str, payload: bytes) -> bytes:
             .encode() + payload)
 
 
-def _archives(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bytes, dict[str, str]]]:
-    """Archives of both versions in turn, and the original's key by key for repeated payloads."""
-    number, parts, size, refers = 0, [], 0, {}
+def _archives(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bytes, list[str | None]]]:
+    """Archives of both versions in turn, and per record the original's key if its payload is a repeated one."""
+    number, parts, size, refers = 0, [], 0, []
 
     def closed():
         return arc_version_block(1 + number % 2, f"{number}.arc") + b"".join(parts), refers
@@ -181,11 +181,10 @@ def _archives(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bytes, dict[s
             payload = payload.to_pybytes() if payload is not None else b""
             parts.append(arc_record(1 + number % 2, url or "", _http_body(key, payload)))
             size += len(parts[-1])
-            if original is not None:
-                refers[key] = original
+            refers.append(original)
             if size >= ARCHIVE_BYTES:
                 yield closed()
-                number, parts, size, refers = number + 1, [], 0, {}
+                number, parts, size, refers = number + 1, [], 0, []
     if parts:
         yield closed()
 
@@ -193,14 +192,18 @@ def _archives(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bytes, dict[s
 def _convert(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for archive, refers in _archives(batches):
         made = []
-        for record in parse_arc(archive):
+        for record, original in zip(parse_arc(archive), refers, strict=True):
             key = headers_of(split_http(record.body)[0])["x-record-key"]
-            made.append(warc_record(record, key, refers.get(key)))
+            made.append(warc_record(record, key, original))
         yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["record"])
 
 
+def payload_digest() -> Column:
+    return F.unhex(F.sha2(F.col("html").cast("binary"), 256))
+
+
 def revisits(pages: DataFrame) -> DataFrame:
-    """(key, original) of every page whose payload equals that of a page with a smaller id.
+    """(page_id, digest, original) of every page whose payload equals that of a page with a smaller id.
 
     Only digests are shuffled, one row per digest and task; payloads stay where they are. A
     payload that a third of the pages share is one key of that aggregation; in the join with
@@ -208,10 +211,10 @@ def revisits(pages: DataFrame) -> DataFrame:
     """
     digests = stored(
         pages.where((F.octet_length("html") >= MIN_REVISIT_BYTES) & F.col("page_id").isNotNull())
-        .select("page_id", F.unhex(F.sha2(F.col("html").cast("binary"), 256)).alias("digest")), "digests")
+        .select("page_id", payload_digest().alias("digest")), "digests")
     first = digests.groupBy("digest").agg(F.min("page_id").alias("original"), F.count(F.lit(1)).alias("n"))
     return digests.join(first.where("n > 1"), "digest").where("page_id <> original").select(
-        "page_id", F.col("original").cast("string").alias("original")).distinct()
+        "page_id", "digest", F.col("original").cast("string").alias("original")).distinct()
 
 
 def pages_to_warc(pages: DataFrame, folder: str, *, file_records: int = FILE_RECORDS) -> None:
@@ -222,10 +225,13 @@ def pages_to_warc(pages: DataFrame, folder: str, *, file_records: int = FILE_REC
     Spark reaches: a text line is written as its raw bytes, and the line end is the blank lines
     that end a WARC record. A null html is an empty payload, a null url becomes "-"; a null
     page_id gives the key "null" and is never a revisit. Rows that repeat a page_id with one
-    payload are all written; none revisits itself.
+    payload are all written; none revisits itself. Rows that repeat one with different payloads
+    each go by their own payload.
     """
     found = small_or_shuffled(stored(revisits(pages), "revisits"))
-    rows = pages.select("page_id", "url", "html").join(found, "page_id", "left").select(
+    long = F.octet_length("html") >= MIN_REVISIT_BYTES
+    rows = pages.select("page_id", "url", "html", F.when(long, payload_digest()).alias("digest")).join(
+        found, ["page_id", "digest"], "left").select(
         F.coalesce(F.col("page_id").cast("string"), F.lit("null")).alias("key"), "url", "original",
         F.col("html").cast("binary").alias("payload"))
     records = rows.mapInArrow(_convert, "record binary")
