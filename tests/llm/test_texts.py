@@ -200,6 +200,20 @@ def test_token_files_round_trip(spark, encoder):
     assert token_files.tokens_of(spark.createDataFrame([], SCHEMA), tokenizer_file()).count() == 0
 
 
+def test_chosen_records_through_the_stored_index(spark, encoder):
+    rows = [(i, f"text number {i}", "", "") for i in range(30)] + [(7, "again", "", ""), (None, "no id", "", "")]
+    folder, path = token_files.tokens_and_index(spark.createDataFrame(rows, SCHEMA), tokenizer_file(), file_documents=4)
+    index = spark.read.parquet(path)
+    assert path.startswith(folder) and index.count() == 32 and {"path", "offset", "length", "doc_id", "start"} <= set(index.columns)
+    chosen = index.where("doc_id in (7, 21) or doc_id is null")
+    found = sorted(((r.doc_id or -1, r.start, r.ids) for r in token_files.read_chosen(chosen).collect()))
+    starts = {(r.doc_id or -1, r.start) for r in chosen.collect()}
+    texts = [(-1, "no id"), (7, "again"), (7, "text number 7"), (21, "text number 21")]
+    assert {f[:2] for f in found} == starts and sorted((f[0], f[2]) for f in found) == sorted(
+        (i, [*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 2]) for i, t in texts)
+    assert token_files.read_chosen(index.where("doc_id = 99")).count() == 0
+
+
 def test_broken_records_are_found():
     good = token_files.frame_record(1, np.array([4, 5, 2]), 2) + b"\n"
     for at in range(len(good)):

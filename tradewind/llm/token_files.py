@@ -10,7 +10,8 @@ A record is one document's ids:
 
 The mask rotates a checksum by 15 bits and adds a constant, so that checksums stored inside
 data do not pass as checksums of that data. Ids take two bytes where the vocabulary allows.
-A second table holds file, offset and length of every record, for reading in any order.
+A second table, stored next to the files, holds file, offset, length, doc_id and start of every
+record, for reading in any order (`read_chosen`).
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import scratch_path, ship, stored, worker_state
+from tradewind.functions.joins import rows_at_most
+from tradewind.llm.common import BROADCAST_KEYS, scratch_path, ship, stored, worker_state
 
 # The mask's constant, and the id that ends a document.
 MASK_DELTA = 0xA282EAD8
@@ -257,9 +259,50 @@ def offset_index(spark: SparkSession, folder: str) -> DataFrame:
             "n_tokens", "ids_crc32", (F.col("base") + F.col("inside")).alias("start"))
 
 
-def tokens_of(docs: DataFrame, tokenizer_path: str, **options) -> DataFrame:
-    """Writes the token files of documents into the shared folder, stores their index, and returns it."""
-    spark = docs.sparkSession
-    folder = scratch_path(spark, "tokens")
+def write_index(spark: SparkSession, folder: str) -> str:
+    """Stores the offset index of token files as a Parquet table next to their folder; returns its path."""
+    path = folder.rstrip("/") + "-index"
+    offset_index(spark, folder).write.parquet(path)
+    return path
+
+
+def _picker(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for data, places in zip(batch.column(0), batch.column(1).to_pylist()):
+            content, rows = memoryview(data.as_buffer()), []
+            for p in places:
+                (_, _, row, ids), = read_records(bytes(content[p["offset"]: p["offset"] + p["length"]]))
+                if p["doc_id"] is not None and int(np.uint64(row).view(np.int64)) != p["doc_id"]:
+                    raise ValueError(f"the index names another record at {p['offset']}")
+                rows.append((p["doc_id"], p["start"], ids.tolist()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.list_(pa.int64())))],
+                ["doc_id", "start", "ids"])
+
+
+def read_chosen(chosen: DataFrame) -> DataFrame:
+    """(doc_id, start, ids) of the records that rows of a stored index name, in no order.
+
+    Only files that hold one are read, and only the named records are parsed and checked.
+    """
+    spark, schema = chosen.sparkSession, "doc_id long, start long, ids array<long>"
+    places = stored(chosen.select("path", "offset", "length", "doc_id", "start"), "chosen")
+    few = rows_at_most(places, BROADCAST_KEYS)
+    paths = [r.path for r in places.select("path").distinct().collect()]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    of_file = places.groupBy("path").agg(F.collect_list(F.struct("offset", "length", "doc_id", "start")).alias("places"))
+    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    return files.join(F.broadcast(of_file) if few else of_file, "path").select("content", "places").mapInArrow(_picker, schema)
+
+
+def tokens_and_index(docs: DataFrame, tokenizer_path: str, **options) -> tuple[str, str]:
+    """Writes the token files of documents into the shared folder and stores their index; returns both paths."""
+    folder = scratch_path(docs.sparkSession, "tokens")
     write_tokens(docs, folder, tokenizer_path, **options)
-    return offset_index(spark, folder)
+    return folder, write_index(docs.sparkSession, folder)
+
+
+def tokens_of(docs: DataFrame, tokenizer_path: str, **options) -> DataFrame:
+    """Writes the token files of documents and their index into the shared folder; returns the stored index."""
+    return docs.sparkSession.read.parquet(tokens_and_index(docs, tokenizer_path, **options)[1])
