@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions.joins import rows_at_most
@@ -77,6 +77,21 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def numbered(frame: DataFrame, name: str) -> DataFrame:
+    """Adds `number`, 0 to rows - 1, in the order of partitions and of rows within them.
+
+    The rows are stored with their partition and their place in it, which fixes the numbers. The
+    only window runs over one row per partition.
+    """
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = stored(frame.select("*", F.spark_partition_id().alias("_part"), place.alias("_place")), name)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows")).select(
+        "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    return placed.join(small_or_shuffled(offsets), "_part").withColumn(
+        "number", F.col("_offset") + F.col("_place")).drop("_part", "_place", "_offset")
+
+
 def small_or_shuffled(frame: DataFrame, bound: int = BROADCAST_KEYS) -> DataFrame:
     """Marks a narrow table for broadcast if it is counted to be within the bound.
 

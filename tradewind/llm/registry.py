@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import archives, decontaminate, mixing, mixing_sql, passages, private, quality_rules, secrets, set_join, token_files, toxicity
+from tradewind.llm import (
+    archives, decontaminate, merkle, mixing, mixing_sql, passages, private, quality_rules, secrets, set_join, sketches, token_files,
+    toxicity, whitening,
+)
 from tradewind.llm.common import table
 from tradewind.llm.spans import digest_columns
 
@@ -68,11 +71,28 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.near_classes(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", list(merkle.FIELDS))
+    return merkle.audited(docs, claim=merkle.tampered())
+
+
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_secrets, op2_jaccard_join, op3_token_files, op4_quality_rules, op5_warc, op6_private_data, op7_toxicity, op8_decontaminate,
-        op9_passage_quality, op10_mix_sources)}
+        op9_passage_quality, op10_mix_sources, op11_near_duplicates, op12_whitening, op13_merkle)}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op8_decontaminate": decontaminate.oracle(), "op2_jaccard_join": set_join.ORACLE, "op5_warc": archives.ORACLE, "op4_quality_rules": quality_rules.ORACLE, "op10_mix_sources": mixing_sql.ORACLE}
+    return {
+        "op2_jaccard_join": set_join.ORACLE, "op4_quality_rules": quality_rules.ORACLE, "op5_warc": archives.ORACLE,
+        "op8_decontaminate": decontaminate.oracle(), "op10_mix_sources": mixing_sql.ORACLE,
+        "op11_near_duplicates": sketches.oracle(), "op13_merkle": merkle.ORACLE,
+    }
