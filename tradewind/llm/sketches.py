@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tradewind.llm.common import components, ship, small_or_shuffled, stored
 from tradewind.llm.set_join import WordHashes, fingerprint, shingle_set
 
-WORDS, PERCENT, KEEP = 4, 80, 128
+WORDS, PERCENT, KEEP = 4, 80, 512
 # Chance with which a linked pair of truncated sets may escape one of the two bounds.
 RISK = 1e-9
 # Values put last in the order (8 bytes each in every task); the list changes the work, not the result.
@@ -47,14 +47,25 @@ ship(__name__)
 
 
 @lru_cache(maxsize=None)
-def fewest(keep: int, percent: int, risk: float = RISK) -> int:
-    """The most hits h for which a binomial(keep, percent) falls below h with a chance under `risk`."""
-    p, total = percent / 100, 0.0
-    for h in range(keep + 1):
-        total += math.comb(keep, h) * p ** h * (1 - p) ** (keep - h)
+def fewest(n: int, keep: int, percent: int, risk: float = RISK) -> int:
+    """Shared retained values below which a set of n members and a linked partner fall with a chance under `risk`.
+
+    Of a union of u members at least `percent` are shared, and its `keep` smallest are a draw
+    without replacement. The union has at most 100 * n / percent members, which spreads most.
+    """
+    union = max(keep, 100 * n // percent)
+    shared = -(-percent * union // 100)
+
+    def log_choose(a: int, b: int) -> float:
+        return math.lgamma(a + 1) - math.lgamma(b + 1) - math.lgamma(a - b + 1)
+
+    total = 0.0
+    for hits in range(max(0, keep - union + shared), min(keep, shared) + 1):
+        total += math.exp(log_choose(shared, hits) + log_choose(union - shared, keep - hits) - log_choose(union, keep))
         if total >= risk:
-            return h
-    return keep
+            # One less, since a smaller union rounds otherwise.
+            return max(1, hits - 1)
+    return 1
 
 
 def least_size(percent: int) -> int:
@@ -66,28 +77,29 @@ def entry_lengths(n: int, keep: int, percent: int) -> tuple[int, int]:
     """(longer, shorter): values of a set's sketch to look up smaller partners by, and larger ones."""
     if 100 * n // percent <= keep:
         return n + percent * n // -100 + 1, n + 2 * percent * n // -(100 + percent) + 1
-    length = min(n, keep) - fewest(keep, percent) + 1
+    length = min(n, keep) - fewest(n, keep, percent) + 1
     return length, length
 
 
-def _sketcher(k: int, keep: int):
+def _sketcher(k: int, keep: int, percent: int):
     half = np.uint64(1 << 63)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            sizes, prints, kept = [], [], []
+            sizes, hits, prints, kept = [], [], [], []
             for value in batch.column(1).cast(pa.binary()):
                 members = shingle_set(value.as_py() or b"", hashes, k)
                 # Ascending as signed numbers, as Spark compares them.
                 turn = int(np.searchsorted(members, half))
                 signed = np.concatenate([members[turn: turn + keep], members[: min(turn, keep)]])[:keep]
                 sizes.append(len(members))
+                hits.append(fewest(len(members), keep, percent))
                 prints.append(fingerprint(members))
                 kept.append(signed.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), _lists(kept)],
-                ["doc_id", "n_shingles", "print", "sketch"])
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(hits, pa.int64()), pa.array(prints, pa.binary()), _lists(kept)],
+                ["doc_id", "n_shingles", "hits", "print", "sketch"])
 
     return run
 
@@ -132,7 +144,7 @@ def _entries(frequent: np.ndarray, keep: int, percent: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shorter, first = [], []
-            for n, values in zip(batch.column(1).to_pylist(), batch.column(2)):
+            for n, values in zip(batch.column(1).to_pylist(), batch.column(3)):
                 values = values.values.to_numpy()
                 longer, short = entry_lengths(n, keep, percent)
                 if len(known):
@@ -145,11 +157,15 @@ def _entries(frequent: np.ndarray, keep: int, percent: int):
                 first.append(values[:longer])
                 shorter.append(short)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(shorter, pa.int64()), _lists(first)], ["id", "n", "shorter", "first"])
+                [batch.column(0), batch.column(1), pa.array(shorter, pa.int64()), batch.column(2), _lists(first)],
+                ["id", "n", "shorter", "hits", "first"])
 
     return run
 
 
+LISTED = "id long, n long, shorter long, hits long, first array<long>"
+
+
 def _full(k: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -168,14 +184,26 @@ def _sizes_agree(x: Column, y: Column, percent: int) -> Column:
 
 
 def centre_pairs(entries: DataFrame, percent: int, turn: int) -> DataFrame:
-    """(a, b): the sets of every list with its centre, the set of smallest or largest id in turn."""
+    """(a, b): the sets of every list with its centre.
+
+    That is the smallest id at first, so that lists agree on it, and later one by hash, so that
+    they differ and a set meets many.
+    """
     entry = F.struct("id", "n", "class")
-    centre = (F.max if turn % 2 else F.min)(entry)
+    centre = F.min_by(entry, F.xxhash64("id", "value")) if turn else F.min(entry)
     lists = entries.groupBy("value").agg(centre.alias("c"))
     met = entries.join(lists, "value").where((F.col("class") != F.col("c.class")) & _sizes_agree(F.col("n"), F.col("c.n"), percent))
     return met.select(F.greatest("id", "c.id").alias("a"), F.least("id", "c.id").alias("b")).distinct()
 
 
+def _enough(x: str, y: str, keep: int, percent: int) -> tuple[Column, Column]:
+    """(whole, least): whether both sets are their own sketches, and the least shared values of a linked pair."""
+    nx, ny = F.col(f"{x}n"), F.col(f"{y}n")
+    whole = F.greatest(nx, ny) <= keep
+    return whole, F.when(whole, F.ceil(F.lit(percent) * (nx + ny) / F.lit(100 + percent))).otherwise(
+        F.greatest(F.col(f"{x}hits"), F.col(f"{y}hits")))
+
+
 def open_pairs(entries: DataFrame, keep: int, percent: int) -> DataFrame:
     """(a, b): sets of different classes that meet with enough values left to be linked.
 
@@ -190,9 +218,8 @@ def open_pairs(entries: DataFrame, keep: int, percent: int) -> DataFrame:
     x, y = looking.alias("x"), found.alias("y")
     nx, ny = F.col("x.n"), F.col("y.n")
     # The first value that two linked sets share leaves room for the others behind it.
-    whole = F.greatest(nx, ny) <= keep
     rest = F.least(F.least(nx, F.lit(keep)) - F.col("x.pos"), F.least(ny, F.lit(keep)) - F.col("y.pos"))
-    enough = F.when(whole, F.ceil(F.lit(percent) * (nx + ny) / F.lit(100 + percent))).otherwise(fewest(keep, percent))
+    _, enough = _enough("x.", "y.", keep, percent)
     met = x.join(y, F.expr("x.value = y.value and x.portion = y.portion and y.n <= x.n and x.class <> y.class")).where(
         (100 * ny >= percent * nx) & (rest >= enough))
     return met.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()
@@ -201,8 +228,11 @@ def open_pairs(entries: DataFrame, keep: int, percent: int) -> DataFrame:
 def with_both(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
     """Pairs (a, b) with the columns of both sets, as a_* and b_*.
 
-    A set in more pairs than a portion (a centre) is repeated, and its pairs are spread by the other set.
+    A set in more pairs than a portion (a centre) is repeated, and its pairs are spread by the other
+    set. Only sets of a pair are shuffled.
     """
+    ids = stored(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "asked")
+    sets = sets.join(small_or_shuffled(ids), "id", "left_semi")
     for side, other in (("a", "b"), ("b", "a")):
         load = pairs.groupBy(side).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > PORTION)
         hot = stored(load.select(F.col(side).alias("_id"), F.ceil(F.col("_n") / PORTION).alias("_copies")), "hot")
@@ -219,13 +249,11 @@ def with_both(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFram
 
 def estimated(pairs: DataFrame, sets: DataFrame, keep: int, percent: int) -> DataFrame:
     """(a, b, certain) of pairs whose union sketch does not rule a link out; certain: it is the whole union."""
-    both = with_both(pairs, sets, ["n", "sketch"])
+    both = with_both(pairs, sets, ["n", "hits", "sketch"])
     shared = F.array_intersect("a_sketch", "b_sketch")
-    whole = F.greatest("a_n", "b_n") <= keep
+    whole, enough = _enough("a_", "b_", keep, percent)
     union = F.slice(F.sort_array(F.array_union("a_sketch", "b_sketch")), 1, keep)
     hits = F.when(whole, F.size(shared)).otherwise(F.size(F.array_intersect(union, shared)))
-    enough = F.when(whole, F.ceil(F.lit(percent) * (F.col("a_n") + F.col("b_n")) / F.lit(100 + percent))).otherwise(
-        fewest(keep, percent))
     return both.where(hits >= enough).select("a", "b", whole.alias("certain"))
 
 
@@ -239,17 +267,17 @@ def near_classes(docs: DataFrame, *, k: int = WORDS, percent: int = PERCENT, kee
     """
     spark, docs = docs.sparkSession, docs.select("doc_id", "text")
     sketched = stored(docs.mapInArrow(
-        _sketcher(k, keep), "doc_id long, n_shingles long, print binary, sketch array<long>"), "sketches")
+        _sketcher(k, keep, percent), "doc_id long, n_shingles long, hits long, print binary, sketch array<long>"), "sketches")
     chosen = sketched.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.min("print").alias("print"))
     # Equal sets are one: the smallest doc_id stands for all.
     first = stored(chosen.groupBy("print").agg(F.min("doc_id").alias("id")), "prints")
     sets = stored(sketched.where(F.col("n_shingles") >= least_size(percent)).alias("s").join(
         small_or_shuffled(first).alias("f"), F.expr("s.doc_id = f.id and s.print = f.print")).select(
-            "f.id", F.col("n_shingles").alias("n"), "sketch").dropDuplicates(["id"]), "sets")
+            "f.id", F.col("n_shingles").alias("n"), "hits", "sketch").dropDuplicates(["id"]), "sets")
 
     listed = sets.mapInArrow(
-        _entries(frequent_values(sets), keep, percent), "id long, n long, shorter long, first array<long>")
-    entries = listed.select("id", "n", "shorter", F.posexplode("first").alias("pos", "value"))
+        _entries(frequent_values(sets), keep, percent), LISTED)
+    entries = listed.select("id", "n", "shorter", "hits", F.posexplode("first").alias("pos", "value"))
     # A list of one set has nobody to meet.
     met = entries.groupBy("value").agg(F.min("id").alias("l"), F.max("id").alias("h")).where("l <> h").select("value")
     entries = stored(entries.join(met, "value", "left_semi"), "entries")
