@@ -95,7 +95,7 @@ def test_all_layers_are_built(built):
     _, made, _ = built
     assert {k: len(v) for k, v in made.items()} == {
         "bronze": 10, "silver": 11, "gold": 12, "opportunities": 5, "tags": 1, "patterns": 8,
-        "forecast": 6, "drift": 1,
+        "forecast": 6, "drift": 1, "alerts": 2,
     }
     rejects = {r["silver_table"]: r for r in made["silver"]["validation_rejects"].collect()}
     for source in SOURCES.values():

@@ -7,7 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.session import ensure_checkpoint_dir
+
 BROADCAST_ROWS = 200_000
+# Rows of one key that one task of a shuffled lookup joins.
+TASK_ROWS = 1_000_000
 HOT_SHARE = 0.001
 SALTS = 64
 
@@ -29,11 +33,45 @@ def lookup_join(
 
     A dimension checked to hold at most `broadcast_rows` rows is broadcast, so the
     fact is not shuffled at all. A larger one is joined by shuffle, with the fact's
-    hot keys salted over `salt_by`. Give the dimension only with the columns needed.
+    hot keys spread as planned over `salt_by`. Give the dimension only with the columns needed.
     """
     if rows_at_most(dimension, broadcast_rows):
         return fact.join(F.broadcast(dimension), key)
-    return salted_join(fact, dimension, key, salt_by=salt_by)
+    return planned_join(fact, dimension, key, salt_by=salt_by)
+
+
+def skew_plan(fact: DataFrame, key: str, *, task_rows: int = TASK_ROWS, most: int = BROADCAST_ROWS) -> DataFrame:
+    """(key, salts): tasks that each key with more than `task_rows` rows is to be spread over.
+
+    One pass over the key column, combined map-side. The plan is stored, and thinned to keys of
+    twice as many rows (four times, ...) until it has at most `most` rows.
+    """
+    ensure_checkpoint_dir(fact.sparkSession)
+    counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > task_rows).checkpoint()
+    while not rows_at_most(hot, most):
+        task_rows *= 2
+        hot = hot.where(F.col("_n") > task_rows)
+    return hot.select(key, F.ceil(F.col("_n") / task_rows).cast("int").alias("salts"))
+
+
+def planned_join(
+    fact: DataFrame, dimension: DataFrame, key: str, *, salt_by: Sequence[str], task_rows: int = TASK_ROWS
+) -> DataFrame:
+    """Inner join by shuffle in which no task gets many more than `task_rows` rows of one key.
+
+    A key is spread over as many tasks as its rows need, whatever its share of the fact, and the
+    dimension repeats its row as often. The salt is a hash of `salt_by`, hence the same on a
+    task retry; rows that are equal in it stay together. Rows without a key match nothing and go
+    before the shuffle.
+    """
+    plan = F.broadcast(skew_plan(fact, key, task_rows=task_rows))
+    salts = F.coalesce("salts", F.lit(1))
+    spread = fact.where(F.col(key).isNotNull()).join(plan, key, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(*salt_by), salts).cast("int")).drop("salts")
+    copies = dimension.join(plan, key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+    return spread.join(copies, [key, "_salt"]).drop("_salt")
 
 
 def salted_join(

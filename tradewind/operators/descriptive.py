@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions.joins import lookup_join
+from tradewind.functions.joins import BROADCAST_ROWS, lookup_join
 from tradewind.functions.measures import (
     PUBLISHED,
     Rounding,
@@ -53,14 +53,14 @@ def revenue_trends(
 
 
 def category_performance(
-    items: DataFrame, products: DataFrame, *, rounding: Rounding = PUBLISHED
+    items: DataFrame, products: DataFrame, *, broadcast_rows: int = BROADCAST_ROWS, rounding: Rounding = PUBLISHED
 ) -> DataFrame:
     """Orders, units, revenue, margin and (line-weighted) rating per product category."""
     lines = items.select("order_id", "product_id", "quantity", "item_revenue", "profit")
     labels = products.select("product_id", "category", "rating_average")
     profit, revenue = F.sum("profit"), F.sum("item_revenue")
     return (
-        lookup_join(lines, labels, "product_id", salt_by=["order_id"])
+        lookup_join(lines, labels, "product_id", salt_by=["order_id"], broadcast_rows=broadcast_rows)
         .groupBy("category")
         .agg(
             F.count_distinct("order_id").alias("orders"),

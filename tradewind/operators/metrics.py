@@ -188,6 +188,12 @@ def alert_eval(
     return reduce(DataFrame.unionByName, parts)
 
 
+def alerts_previous(evaluations: DataFrame, run_id: str) -> DataFrame:
+    """The newest evaluation of each alert by another run than `run_id`."""
+    newest = F.row_number().over(Window.partitionBy("alert_name").orderBy(F.desc("evaluated_at"), F.desc("run_id")))
+    return evaluations.where(F.col("run_id") != run_id).withColumn("_nth", newest).where("_nth = 1").drop("_nth")
+
+
 def alert_transitions(evaluations: DataFrame) -> DataFrame:
     """Evaluations that changed an alert's state: breaches and recoveries.
 

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.functions.joins import lookup_join
 from tradewind.functions.ledger import stack_sources, with_keys
 from tradewind.functions.measures import (
     PUBLISHED,
@@ -93,27 +94,19 @@ def campaign_targeting_precision(
 ) -> DataFrame:
     """Share of a targeted campaign's orders that came from the segment it targeted.
 
-    Counts fold step by step - (customer, campaign), then (campaign, segment) - so each
-    join sees at most one row per customer and campaign, and at most one per campaign
-    and segment, however many orders a single customer or campaign has.
+    Orders of targeted campaigns alone go on: the list of campaigns is joined first. They fold
+    to (customer, target) before customers are joined, so that join sees at most one row per
+    customer and targeted segment, however many orders a customer or campaign has.
     """
-    per_pair = (
-        with_keys(orders, ["customer_id", "campaign_id"])
-        .groupBy("customer_id", "campaign_id")
-        .agg(rows().alias("_n"))
-    )
-    per_segment = (
-        per_pair.join(customers.select("customer_id", "customer_segment"), "customer_id")
-        .groupBy("campaign_id", "customer_segment")
-        .agg(F.sum("_n").alias("_n"))
-    )
-    targeted = campaigns.where(F.col("target_segment") != untargeted).select(
-        "campaign_id", "target_segment"
-    )
+    targeted = campaigns.where(F.col("target_segment") != untargeted).select("campaign_id", "target_segment")
+    aimed = lookup_join(
+        with_keys(orders, ["customer_id", "campaign_id"]).select("customer_id", "campaign_id"), targeted, "campaign_id",
+        salt_by=["customer_id"])
+    per_customer = aimed.groupBy("customer_id", "target_segment").agg(rows().alias("_n"))
     hit = F.col("customer_segment") == F.col("target_segment")
     matched = F.coalesce(F.sum(F.when(hit, F.col("_n"))), F.lit(0))
     return (
-        per_segment.join(targeted, "campaign_id")
+        per_customer.join(customers.select("customer_id", "customer_segment"), "customer_id")
         .groupBy("target_segment")
         .agg(F.sum("_n").alias("total_orders"), matched.alias("matched_orders"))
         .withColumn(

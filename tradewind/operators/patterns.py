@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.functions.joins import lookup_join
+from tradewind.functions.joins import BROADCAST_ROWS, lookup_join
 from tradewind.functions.ledger import with_keys
 from tradewind.functions.measures import (
     PUBLISHED,
@@ -18,7 +18,7 @@ from tradewind.functions.measures import (
     rows,
     share_pct,
 )
-from tradewind.functions.ranking import global_ntile
+from tradewind.functions.selection import Tile, with_tiles
 
 # Status left out of the behavioural tables, month offsets reported.
 EXCLUDED_STATUS = "Cancelled"
@@ -98,11 +98,8 @@ def rfm_scores(
             F.sum("final_amount").alias("monetary"),
         )
     )
-    scored = global_ntile(
-        base, F.col("recency_days"), "customer_id", tiles, "recency_score", descending=True
-    )
-    scored = global_ntile(scored, F.col("frequency"), "customer_id", tiles, "frequency_score")
-    return global_ntile(scored, F.col("monetary"), "customer_id", tiles, "monetary_score")
+    return with_tiles(base, "customer_id", tiles, [
+        Tile("recency_days", "recency_score", descending=True), Tile("frequency", "frequency_score"), Tile("monetary", "monetary_score")])
 
 
 def rfm_segmentation(
@@ -132,7 +129,7 @@ def rfm_segmentation(
     )
 
 
-def category_affinity(items: DataFrame, products: DataFrame) -> DataFrame:
+def category_affinity(items: DataFrame, products: DataFrame, *, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """How many orders hold each pair of categories.
 
     Each order becomes its sorted set of categories, equal sets are counted, and only then
@@ -142,7 +139,7 @@ def category_affinity(items: DataFrame, products: DataFrame) -> DataFrame:
     lines = items.select("order_id", "product_id").where(F.col("order_id").isNotNull()).distinct()
     labels = products.select("product_id", "category").where(F.col("category").isNotNull())
     baskets = (
-        lookup_join(lines, labels, "product_id", salt_by=["order_id"])
+        lookup_join(lines, labels, "product_id", salt_by=["order_id"], broadcast_rows=broadcast_rows)
         .groupBy("order_id")
         .agg(F.sort_array(F.collect_set("category")).alias("_set"))
         .where(F.size("_set") > 1)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,7 +33,9 @@ class Pipeline:
 
     Each layer reads what the layer before stored, so a table is computed once and a
     failed run can be taken up at any layer. `as_of` stands for today. With a `database`,
-    the typed and derived tables are also registered there, with comments and tags.
+    the typed and derived tables are also registered there, with comments and tags. `now` is the
+    time alerts are evaluated at, the clock's by default. `loaded` counts the rows that the last
+    refresh read of each fact.
     """
 
     spark: SparkSession
@@ -45,6 +48,13 @@ class Pipeline:
     database: str | None = None
     written: dict[str, dict[str, DataFrame]] = field(default_factory=dict)
     registered: dict[str, str] = field(default_factory=dict)
+    loaded: dict[str, int] = field(default_factory=dict)
+    now: Column | None = None
+
+    @property
+    def rules_missing(self) -> str:
+        """What rules do without their column: the same as typed tables."""
+        return "skip" if self.raw_missing == "skip" else "raise"
 
     def stored(self, layer: str, names: Mapping | list) -> dict[str, DataFrame]:
         """Tables of a layer as written by this run or an earlier one."""
@@ -59,7 +69,8 @@ class Pipeline:
         raw = ingest_all_new_files(
             self.spark, self.raw_root, f"{self.out_root}/bronze", f"{self.out_root}/_ingest"
         )
-        log = write_table(validation_log(raw, self.as_of), self.out_root, "bronze_checks", "validation_log")
+        log = write_table(
+            validation_log(raw, self.as_of, missing=self.rules_missing), self.out_root, "bronze_checks", "validation_log")
         return {**raw, "validation_log": log}
 
     def silver(self) -> dict[str, DataFrame]:
@@ -68,8 +79,8 @@ class Pipeline:
         return write_layer(
             {
                 **typed,
-                "validation_rejects": validation_rejects(raw, self.as_of),
-                "rejects_by_rule": rejects_by_rule(raw, self.as_of),
+                "validation_rejects": validation_rejects(raw, self.as_of, missing=self.rules_missing),
+                "rejects_by_rule": rejects_by_rule(raw, self.as_of, missing=self.rules_missing),
             },
             self.out_root,
             "silver",
@@ -145,6 +156,41 @@ class Pipeline:
         return drift
 
 
+    def alerts_path(self) -> str:
+        return table_path(self.out_root, "ops", "alert_history")
+
+    def load_times(self) -> DataFrame:
+        """(table_name, loaded_at): when each raw table last received a file, by the files' own times."""
+        written = F.max(F.col("_metadata.file_modification_time"))
+        parts = [
+            frame.agg(written.alias("loaded_at")).select(F.lit(name).alias("table_name"), "loaded_at")
+            for name, frame in self.stored("bronze", list(SOURCES)).items()
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+    def alert_check(self, run_id: str | None = None, alerts: Sequence[metrics.Alert] | None = None) -> dict[str, DataFrame]:
+        """Evaluates the alerts, keeps the evaluations, and returns them with the changes of state.
+
+        Freshness counts from the last load, not from the latest order. The state of each alert
+        is its newest evaluation by an earlier run; a run that is repeated replaces its own.
+        """
+        clock = datetime.now(timezone.utc)
+        run = run_id or clock.strftime("%Y%m%dT%H%M%SZ")
+        now = F.lit(clock) if self.now is None else self.now
+        loads = write_table(self.load_times(), self.out_root, "ops", "load_times")
+        wanted = metrics.standard_alerts(now, freshness_of=("load_times", "loaded_at")) if alerts is None else alerts
+        found = metrics.alert_eval(
+            lambda name: loads if name == "load_times" else self.stored("gold", [name])[name], wanted, rounding=self.rounding)
+        current = write_table(
+            found.withColumns({"evaluated_at": now.cast("timestamp"), "run_id": F.lit(run)}), self.out_root, "ops", "alert_evaluations")
+        before = metrics.alerts_previous(read_history(self.spark, self.alerts_path(), current.schema), run)
+        changed = metrics.alert_transitions(before.unionByName(current)).join(
+            current.select("alert_name", "evaluated_at"), ["alert_name", "evaluated_at"], "left_semi")
+        transitions = write_table(changed, self.out_root, "ops", "alert_transitions")
+        metrics_append(current, self.alerts_path())
+        return {"alert_evaluations": current, "alert_transitions": transitions}
+
+
 LAYERS: dict[str, Callable[[Pipeline], dict[str, DataFrame]]] = {
     "bronze": Pipeline.bronze,
     "silver": Pipeline.silver,
@@ -160,7 +206,7 @@ STORED_AS = {"opportunities": "gold", "patterns": "gold", "forecast": "gold", "t
 def build_layers(pipeline: Pipeline, only: str | None = None) -> dict[str, dict[str, DataFrame]]:
     """Builds all layers in order, or the named one; the first failure stops the run.
 
-    A full run ends with the drift check.
+    A full run ends with the drift check and the alerts.
     """
     if only is not None and only not in LAYERS:
         raise ValueError(f"unknown layer {only!r}; choose from {', '.join(LAYERS)}")
@@ -176,4 +222,5 @@ def build_layers(pipeline: Pipeline, only: str | None = None) -> dict[str, dict[
                 pipeline.register("bronze_checks", ["validation_log"])
     if only is None:
         built["drift"] = {"metrics_drift": pipeline.drift_check()}
+        built["alerts"] = pipeline.alert_check()
     return built

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.measures import FINE
-from tradewind.operators import audit, conform, metrics, patterns, reports, rules
+from tradewind.operators import audit, conform, descriptive, metrics, patterns, reports, rollups, rules
 from tradewind.plans import gold
 from tradewind.plans.sample_star import SampleStar
 from tradewind.schema import SOURCES
@@ -60,6 +60,32 @@ def _rfm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return scores.withColumn("monetary", FINE.to_money(F.col("monetary")))
 
 
+def _category_performance_shuffled(spark: SparkSession, folder: str) -> DataFrame:
+    star = SampleStar(spark, folder)
+    return descriptive.category_performance(star.fact_order_items(), star.dim_product(), broadcast_rows=0, rounding=FINE)
+
+
+def _category_affinity_shuffled(spark: SparkSession, folder: str) -> DataFrame:
+    star = SampleStar(spark, folder)
+    return patterns.category_affinity(star.fact_order_items(), star.dim_product(), broadcast_rows=0)
+
+
+# Loads that the incremental queries deal a fact's rows to.
+LOADS = 3
+
+
+def _incremental(name: str) -> Query:
+    """A derived table from the partials of several loads, added up."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        star, rollup = SampleStar(spark, folder).star(), rollups.ROLLUPS[name]
+        fact = star[rollup.fact]
+        load = F.pmod(F.xxhash64(*[c for c in ("order_id", "product_id") if c in fact.columns]), F.lit(LOADS))
+        return rollups.finished(rollups.partials_of_loads(fact, rollup, load), rollup, star=star, rounding=FINE)
+
+    return run
+
+
 # -- audit -----------------------------------------------------------------------------------
 
 # The sample tables name their keys ...key and differently on both sides of a reference.
@@ -160,6 +186,9 @@ def registered_queries() -> dict[str, Query]:
     found["silver_validation_rejects"] = _raw_report(rules.validation_rejects)
     found["silver_rejects_by_rule"] = _raw_report(rules.rejects_by_rule)
     found.update({name: _derived(name) for name in gold.BUILDERS})
+    found.update({f"incremental_{name}": _incremental(name) for name in rollups.ROLLUPS})
+    found["category_performance_shuffled"] = _category_performance_shuffled
+    found["category_affinity_shuffled"] = _category_affinity_shuffled
     found["rfm_scores"] = _rfm_scores
     found["profile_tables"] = lambda spark, folder: audit.profile_tables(
         SampleStar(spark, folder).sample_tables())

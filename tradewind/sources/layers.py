@@ -7,6 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tradewind.operators.metrics import HISTORY_SCHEMA
 
@@ -74,11 +75,11 @@ def metrics_append(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """The metric history; empty if no run has been recorded yet."""
+def read_history(spark: SparkSession, path: str, schema: StructType | str = HISTORY_SCHEMA) -> DataFrame:
+    """The metric history, or another one by its schema; empty if no run has been recorded yet."""
     try:
-        return spark.read.schema(HISTORY_SCHEMA).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], HISTORY_SCHEMA)
+        return spark.createDataFrame([], schema)
