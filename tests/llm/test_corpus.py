@@ -12,7 +12,7 @@ import pytest
 
 import corpus_pipeline
 from check import differences, oracle_connection
-from tradewind.llm import decontaminate, mixing, passages, quality_rules, toxicity
+from tradewind.llm import decontaminate, mixing, passages, quality_rules, sketches, toxicity
 from tradewind.llm.registry import llm_oracles, llm_queries, tokenizer_file
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, _words string"
@@ -156,21 +156,22 @@ def plain_pipeline(spark, folder):
     from tokenizers import Tokenizer
 
     con = oracle_connection(folder)
-    docs = con.execute("SELECT * FROM documents").fetch_arrow_table()
+    docs = con.execute("SELECT * FROM documents").to_arrow_table()
 
-    def left(name, column, drop):
+    def left(sql, drop):
         nonlocal docs
         con.execute("DROP VIEW IF EXISTS documents")
         con.register("documents", docs)
-        result = con.execute(llm_oracles()[name])
+        result = con.execute(sql)
         names = [c[0] for c in result.description]
         gone = {r[names.index("doc_id")] for r in result.fetchall() if drop(dict(zip(names, r)))}
         docs = docs.filter(pa.array([i not in gone for i in docs["doc_id"].to_pylist()]))
         con.unregister("documents")
 
-    left("op4_quality_rules", "kept", lambda r: not r["kept"])
-    left("op2_jaccard_join", "component_id", lambda r: r["doc_id"] != r["component_id"])
-    left("op8_decontaminate", "item_id", lambda r: True)
+    left(llm_oracles()["op4_quality_rules"], lambda r: not r["kept"])
+    # The stage's own shingle width and similarity.
+    left(sketches.oracle(corpus_pipeline.NEAR_WORDS, corpus_pipeline.NEAR_PERCENT), lambda r: not r["kept"])
+    left(llm_oracles()["op8_decontaminate"], lambda r: True)
     con.register("documents", docs)
     result = con.execute(llm_oracles()["op10_mix_sources"])
     taken = {r[0]: (r[4] // r[1] if r[1] else 0) for r in result.fetchall()}
@@ -187,3 +188,5 @@ def plain_pipeline(spark, folder):
 def test_pipeline(spark, sample):
     found = sorted((tuple(r) for r in corpus_pipeline.run(spark, sample).collect()), key=lambda r: r[1])
     assert found == plain_pipeline(spark, sample)
+    # Near copies at five words and 80 percent that three words and 90 percent would keep.
+    assert not {145, 177} & {r[0] for r in found}
