@@ -35,7 +35,7 @@ END_ID = 2
 # Records in one file; it bounds what a reading task takes at once.
 FILE_DOCUMENTS = 4_000
 CACHED_PIECES = 300_000
-BATCH_CHARS = 1_500_000
+BATCH_CHARS = 3_000_000
 ENCODED_PIECES = 20_000
 
 ship(__name__)
@@ -83,7 +83,10 @@ class Encoder:
 
     def __init__(self, path: str):
         import json
+        import os
 
+        # A task has one core: threads of the library would only wait for one another.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -127,7 +130,9 @@ class Encoder:
                 sizes.append(np.array([len(x) for x in each], np.int64))
         return np.concatenate(all_ids), np.concatenate(sizes)
 
-    def batch(self, texts: list[str]) -> list[np.ndarray]:
+    def batch(self, texts: list[str], end_id: int | None = None) -> list[np.ndarray]:
+        """Ids of each text, and the end id if one is given."""
+        end = np.array([] if end_id is None else [end_id], np.uint32)
         out: list[np.ndarray | None] = [None] * len(texts)
         plain = [i for i, t in enumerate(texts) if self.cuts and not any(a in t for a in self.added)]
         if plain:
@@ -162,10 +167,10 @@ class Encoder:
             ids = flat[index]
             for k, i in enumerate(plain):
                 a, b = first[k], offsets[k + 1] - offsets[0]
-                out[i] = np.concatenate([heads[k], ids[ends[a]:ends[b - 1]]])
+                out[i] = np.concatenate([heads[k], ids[ends[a]:ends[b - 1]], end])
         rest = [i for i, o in enumerate(out) if o is None]
         for i, ids in zip(rest, self.whole([texts[i] for i in rest])):
-            out[i] = ids
+            out[i] = np.concatenate([ids, end])
         return out
 
 
@@ -177,8 +182,7 @@ def _writer(path: str, end_id: int):
         encoder = encoders[path]
 
         def framed(rows, texts):
-            made = [frame_record(r, np.append(ids, np.uint32(end_id)), encoder.width)
-                    for r, ids in zip(rows, encoder.batch(texts))]
+            made = [frame_record(r, ids, encoder.width) for r, ids in zip(rows, encoder.batch(texts, end_id))]
             return pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["record"])
 
         rows, texts, held = [], [], 0
