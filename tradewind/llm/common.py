@@ -74,7 +74,16 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = scratch_path(spark, name)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    out = spark.read.schema(frame.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(frame: DataFrame) -> None:
+    """Removes the files of a frame from `stored` that nothing reads any more."""
+    spark = frame.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(frame._stored_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def numbered(frame: DataFrame, name: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import components, ship, small_or_shuffled, stored
+from tradewind.llm.common import components, discard, ship, small_or_shuffled, stored
 from tradewind.llm.set_join import WordHashes, fingerprint, shingle_set
 
 WORDS, PERCENT, KEEP = 4, 80, 512
@@ -268,12 +268,14 @@ def near_classes(docs: DataFrame, *, k: int = WORDS, percent: int = PERCENT, kee
     spark, docs = docs.sparkSession, docs.select("doc_id", "text")
     sketched = stored(docs.mapInArrow(
         _sketcher(k, keep, percent), "doc_id long, n_shingles long, hits long, print binary, sketch array<long>"), "sketches")
-    chosen = sketched.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.min("print").alias("print"))
+    named = stored(sketched.select("doc_id", "n_shingles", "print"), "named")
+    chosen = named.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.min("print").alias("print"))
     # Equal sets are one: the smallest doc_id stands for all.
     first = stored(chosen.groupBy("print").agg(F.min("doc_id").alias("id")), "prints")
     sets = stored(sketched.where(F.col("n_shingles") >= least_size(percent)).alias("s").join(
-        small_or_shuffled(first).alias("f"), F.expr("s.doc_id = f.id and s.print = f.print")).select(
+        first.alias("f"), F.expr("s.doc_id = f.id and s.print = f.print")).select(
             "f.id", F.col("n_shingles").alias("n"), "hits", "sketch").dropDuplicates(["id"]), "sets")
+    discard(sketched)
 
     listed = sets.mapInArrow(
         _entries(frequent_values(sets), keep, percent), LISTED)
@@ -315,7 +317,7 @@ def near_classes(docs: DataFrame, *, k: int = WORDS, percent: int = PERCENT, kee
         F.col("print").alias("_print"), F.coalesce("component", "id").alias("component_id"))
     of_doc = chosen.join(of_set, F.expr("print = _print")).select(F.col("doc_id").alias("_id"), "component_id")
     component = F.coalesce("component_id", "doc_id")
-    return sketched.select("doc_id", "n_shingles").join(of_doc, F.expr("doc_id = _id"), "left").select(
+    return named.select("doc_id", "n_shingles").join(of_doc, F.expr("doc_id = _id"), "left").select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
