@@ -231,16 +231,16 @@ def with_both(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFram
     A set in more pairs than a portion (a centre) is repeated, and its pairs are spread by the other
     set. Only sets of a pair are shuffled.
     """
-    ids = stored(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "asked")
-    sets = sets.join(small_or_shuffled(ids), "id", "left_semi")
+    given = pairs
     for side, other in (("a", "b"), ("b", "a")):
-        load = pairs.groupBy(side).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > PORTION)
+        load = given.groupBy(side).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > PORTION)
         hot = stored(load.select(F.col(side).alias("_id"), F.ceil(F.col("_n") / PORTION).alias("_copies")), "hot")
         spread = F.coalesce("_copies", F.lit(1).cast("long"))
         small = small_or_shuffled(hot)
         pairs = pairs.join(small, F.col(side) == F.col("_id"), "left").withColumn(
             "_salt", F.pmod(F.xxhash64(other), spread)).drop("_id", "_copies")
-        copies = sets.join(small, F.col("id") == F.col("_id"), "left").select(
+        ids = stored(given.select(F.col(side).alias("id")).distinct(), "asked")
+        copies = sets.join(small_or_shuffled(ids), "id", "left_semi").join(small, F.col("id") == F.col("_id"), "left").select(
             F.col("id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns],
             F.explode(F.sequence(F.lit(0).cast("long"), spread - 1)).alias("_salt"))
         pairs = pairs.join(copies, [side, "_salt"]).drop("_salt")
@@ -281,7 +281,7 @@ def near_classes(docs: DataFrame, *, k: int = WORDS, percent: int = PERCENT, kee
         _entries(frequent_values(sets), keep, percent), LISTED)
     entries = listed.select("id", "n", "shorter", "hits", F.posexplode("first").alias("pos", "value"))
     # A list of one set has nobody to meet.
-    met = entries.groupBy("value").agg(F.min("id").alias("l"), F.max("id").alias("h")).where("l <> h").select("value")
+    met = entries.groupBy("value").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("value")
     entries = stored(entries.join(met, "value", "left_semi"), "entries")
 
     known = spark.createDataFrame([], "a long, b long")
