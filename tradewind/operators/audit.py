@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 from tradewind.functions.ledger import rows_from_columns, stack_sources, with_keys
 from tradewind.functions.measures import rows
-from tradewind.operators.quality import key_safety
 
 # Finding kinds with their severity (1 = worst), and the name patterns
 # that mark amounts, percentages and identifiers.
@@ -264,6 +263,7 @@ class Audit:
     ids_only: bool = False
     exact_keys: bool = True
     exact_constants: bool = True
+    exact_fanout: bool = True
     _cache: dict = field(default_factory=dict)
 
     @property
@@ -339,27 +339,95 @@ def _from_profile(audit: Audit, kinds: set[str]) -> DataFrame:
     return audit.listed(f for f in found if f[0] in kinds)
 
 
+def _pair_values(frame: DataFrame, pairs: Sequence[tuple[str, str]]) -> list[str]:
+    """SQL text of each pair as one value, equal exactly when both parts are, all of one type."""
+    fields = {f.name: f for f in frame.schema.fields}
+    numbers = all(isinstance(fields[c].dataType, T.IntegralType) for pair in pairs for c in pair)
+
+    def part(column: str) -> str:
+        if numbers:
+            return f"CAST({quoted(column)} AS bigint)"
+        if isinstance(fields[column].dataType, (T.DoubleType, T.FloatType)):
+            # Both zeros are one value.
+            return f"CAST({quoted(column)} + 0.0D AS STRING)"
+        return comparable(fields[column])
+
+    return [f"named_struct('a', {part(a)}, 'b', {part(b)})" for a, b in pairs]
+
+
+def pair_safety(table: str, frame: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """`key_safety` of pairs of columns, all of them in one scan and one shuffle.
+
+    The pairs of a row become rows (pair, value), which are counted per value first, combined
+    map-side, and then per pair.
+    """
+    names = [" + ".join(pair) for pair in pairs]
+    values = [f"{v} AS {quoted(n)}" for v, n in zip(_pair_values(frame, pairs), names)]
+    counted = (
+        frame.selectExpr(*values)
+        .unpivot([], [quoted(n) for n in names], "candidate_key", "_value")
+        .groupBy("candidate_key", "_value")
+        .agg(rows().alias("_n"))
+        .groupBy("candidate_key")
+        .agg(F.sum("_n").alias("rows"), rows().alias("distinct_keys"))
+    )
+    return counted.select(
+        F.lit(table).alias("table_name"), "candidate_key", "rows", "distinct_keys",
+        (F.col("rows") - F.col("distinct_keys")).alias("fanout_rows"))
+
+
+def sketched_pairs(table: str, frame: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """`pair_safety` with estimated distinct counts (standard error 1.6 %): one pass, no values shuffled."""
+    # A hash passes over nulls, so which part is null goes in by itself.
+    hashed = [f"xxhash64({quoted(a)} IS NULL, {v})" for (a, _), v in zip(pairs, _pair_values(frame, pairs))]
+    sketches = [
+        f"hll_sketch_estimate(hll_sketch_agg({h}, {SKETCH_LOG_SLOTS})) AS _d{i}" for i, h in enumerate(hashed)]
+    totals = frame.selectExpr("count(1) AS _rows", *sketches)
+    lines = ", ".join(f"{text_literal(' + '.join(pair))}, _rows, least(_rows, _d{i})" for i, pair in enumerate(pairs))
+    return totals.selectExpr(
+        f"{text_literal(table)} AS table_name", f"stack({len(pairs)}, {lines}) AS (candidate_key, rows, distinct_keys)"
+    ).withColumn("fanout_rows", F.expr("rows - distinct_keys"))
+
+
 def _fanout(audit: Audit) -> list[DataFrame]:
-    """Pairs of id columns that do not identify a row. A unique column settles its pairs."""
+    """Pairs of id columns that do not identify a row. A unique column settles its pairs.
+
+    With `exact_fanout` all pairs are counted exactly. Without, sketches estimate the affected rows of
+    pairs that repeat for certain, and only pairs near the number of rows are counted.
+    """
     parts = []
     for table, frame in audit.tables.items():
         settled = {p.column for p in audit.of(table) if p.unique}
         pairs = [p for p in combinations(audit.ids(table), 2) if not settled.intersection(p)]
         if not pairs:
             continue
-        parts.append(
-            key_safety(table, frame, pairs)
-            .where(F.col("fanout_rows") > 0)
-            .select(
+        detail = "pair does not identify a row"
+        counts = []
+        if not audit.exact_fanout:
+            guessed = {r["candidate_key"]: r for r in sketched_pairs(table, frame, pairs).collect()}
+            far = [g for g in guessed.values() if g["distinct_keys"] < EXACT_FROM * g["rows"]]
+            pairs = [p for p in pairs if guessed[" + ".join(p)] not in far]
+            if far:
+                counts.append(audit.spark.createDataFrame(
+                    [(g["candidate_key"], g["rows"], g["fanout_rows"]) for g in far],
+                    "candidate_key string, rows bigint, fanout_rows bigint",
+                ).withColumn("detail", F.lit(f"{detail} (rows estimated)")))
+        if pairs:
+            counts.append(
+                pair_safety(table, frame, pairs).where(F.col("fanout_rows") > 0)
+                .select("candidate_key", "rows", "fanout_rows", F.lit(detail).alias("detail")))
+        parts += [
+            found.select(
                 F.lit(SEVERITY["FANOUT"]).alias("severity"),
                 F.lit("FANOUT").alias("kind"),
-                "table_name",
+                F.lit(table).alias("table_name"),
                 F.col("candidate_key").alias("column_name"),
                 F.col("fanout_rows").alias("affected_rows"),
                 F.col("rows").alias("total_rows"),
-                F.lit("pair does not identify a row").alias("detail"),
+                "detail",
             )
-        )
+            for found in counts
+        ]
     return parts
 
 
@@ -483,12 +551,15 @@ def audit_model(
     patterns: Patterns = Patterns(),
     fk_map: Mapping[tuple[str, str], tuple[str, str]] | None = None,
     strict: bool = False,
+    exact_fanout: bool = True,
 ) -> DataFrame:
     """Findings over any set of tables, worst first.
 
     `kinds` limits the audit (and its work) to some kinds of finding; `fk_map` declares
     foreign keys as {(child, column): (parent, key)} instead of finding them by name;
-    `strict` raises OrphansFound if any foreign key points nowhere.
+    `strict` raises OrphansFound if any foreign key points nowhere. Without `exact_fanout` the
+    affected rows of column pairs that repeat for certain are estimated, and no pair's values
+    are shuffled unless they may identify a row.
     """
     wanted = set(SEVERITY if kinds is None else kinds)
     unknown = wanted - set(SEVERITY)
@@ -496,7 +567,8 @@ def audit_model(
         raise ValueError(f"unknown kinds of finding: {sorted(unknown)}")
     audit = Audit(
         dict(tables), as_of, patterns, fk_map, ids_only=not wanted & WHOLE_ROW_KINDS,
-        exact_keys=bool(wanted & KEY_KINDS), exact_constants="CONSTANT" in wanted)
+        exact_keys=bool(wanted & KEY_KINDS), exact_constants="CONSTANT" in wanted,
+        exact_fanout=exact_fanout)
     parts: list[DataFrame] = []
     if wanted & PROFILE_KINDS:
         parts.append(_from_profile(audit, wanted))

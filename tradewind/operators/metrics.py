@@ -11,6 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tradewind.functions.ledger import rows_from_columns
 from tradewind.functions.measures import PUBLISHED, Rounding
 
 Tables = Callable[[str], DataFrame]
@@ -19,42 +20,61 @@ Metric = Callable[[Tables, Rounding], DataFrame]
 HISTORY_SCHEMA = "metric_name string, value double, snapshot_ts timestamp, run_id string"
 
 
-def _one(table: str, value: Callable[[Rounding], Column], where: str | None = None) -> Metric:
-    """A metric that is one aggregate over one derived table."""
+@dataclass(frozen=True)
+class TableMetric:
+    """A metric that is one aggregate over one derived table, over its rows of `where` only.
+
+    `value` builds the aggregate from the rounding and a function that gives a column by its
+    name, null outside `where`; so metrics of one table can be taken in one pass.
+    """
+
+    table: str
+    value: Callable[[Rounding, Callable[[str], Column]], Column]
+    where: str | None = None
 
-    def metric(tables: Tables, rounding: Rounding) -> DataFrame:
-        frame = tables(table)
-        return (frame if where is None else frame.where(where)).agg(value(rounding).alias("value"))
+    def column(self, rounding: Rounding) -> Column:
+        def of(name: str) -> Column:
+            return F.col(name) if self.where is None else F.when(F.expr(self.where), F.col(name))
 
-    return metric
+        return self.value(rounding, of).cast("double")
+
+    def __call__(self, tables: Tables, rounding: Rounding) -> DataFrame:
+        return tables(self.table).agg(self.column(rounding).alias("value"))
 
 
 # The names of the headline metrics, and the labels they look up.
 HEADLINE: dict[str, Metric] = {
-    "total_orders": _one("revenue_trends", lambda r: F.sum("orders")),
-    "total_revenue_cr": _one("revenue_trends", lambda r: r.to_crore(F.sum("revenue"))),
+    "total_orders": TableMetric("revenue_trends", lambda r, c: F.sum(c("orders"))),
+    "total_revenue_cr": TableMetric("revenue_trends", lambda r, c: r.to_crore(F.sum(c("revenue")))),
     # Unweighted over warehouses: each warehouse's rate counts the same.
-    "same_day_avg_delay_pct": _one(
-        "delivery_performance", lambda r: r.to_mean(F.avg("delay_rate_pct")),
+    "same_day_avg_delay_pct": TableMetric(
+        "delivery_performance", lambda r, c: r.to_mean(F.avg(c("delay_rate_pct"))),
         "shipping_method = 'Same-Day'"),
-    "avg_delay_rating": _one(
-        "delay_impact_on_experience", lambda r: F.max("avg_rating"),
+    "avg_delay_rating": TableMetric(
+        "delay_impact_on_experience", lambda r, c: F.max(c("avg_rating")),
         "delivery_outcome = 'Delayed'"),
-    "targeting_precision_worst_pct": _one(
-        "campaign_targeting_precision", lambda r: F.min("targeting_precision_pct")),
-    "cancel_rate_no_discount_pct": _one(
-        "discount_effectiveness", lambda r: F.max("cancel_rate_pct"),
+    "targeting_precision_worst_pct": TableMetric(
+        "campaign_targeting_precision", lambda r, c: F.min(c("targeting_precision_pct"))),
+    "cancel_rate_no_discount_pct": TableMetric(
+        "discount_effectiveness", lambda r, c: F.max(c("cancel_rate_pct")),
         "discount_band = '1. No discount'"),
-    "cancel_rate_20pct_discount": _one(
-        "discount_effectiveness", lambda r: F.max("cancel_rate_pct"),
+    "cancel_rate_20pct_discount": TableMetric(
+        "discount_effectiveness", lambda r, c: F.max(c("cancel_rate_pct")),
         "discount_band = '4. 20%+'"),
-    "retention_m1_avg_pct": _one("cohort_retention", lambda r: r.to_mean(F.avg("retention_m1_pct"))),
-    "repeat_purchase_pct": _one(
-        "repeat_purchase_timing", lambda r: F.max("pct_repeat_at_least_once")),
-    "dq_worst_check_pct": _one("data_quality", lambda r: F.max("pct_affected")),
+    "retention_m1_avg_pct": TableMetric("cohort_retention", lambda r, c: r.to_mean(F.avg(c("retention_m1_pct")))),
+    "repeat_purchase_pct": TableMetric(
+        "repeat_purchase_timing", lambda r, c: F.max(c("pct_repeat_at_least_once"))),
+    "dq_worst_check_pct": TableMetric("data_quality", lambda r, c: F.max(c("pct_affected"))),
 }
 
 
+def _of_one_table(tables: Tables, table: str, metrics: Mapping[str, TableMetric], rounding: Rounding) -> DataFrame:
+    """(metric_name, value) of metrics of one table, in one pass over it."""
+    totals = tables(table).agg(*[m.column(rounding).alias(f"_{i}") for i, m in enumerate(metrics.values())])
+    return rows_from_columns(
+        totals, "metric_name", [(name, {"value": F.col(f"_{i}")}) for i, name in enumerate(metrics)])
+
+
 def headline_metrics(
     spark: SparkSession,
     tables: Tables,
@@ -65,24 +85,34 @@ def headline_metrics(
 ) -> DataFrame:
     """(metric_name, value), one row per metric.
 
-    A metric whose table or column is missing gives NULL and the others go on. With
-    `isolate` each metric also runs by itself, so that one failing at run time does too, a job
-    that aborts on an unreadable file included;
-    only the single values then pass through the driver.
+    Metrics of one table are one aggregate, so each derived table is built once. If that fails,
+    each of them is taken by itself: a metric whose table or column is missing gives NULL and the
+    others go on. With `isolate` each aggregate also runs by itself, so that one failing at run
+    time does too, a job that aborts on an unreadable file included; only the single values
+    then pass through the driver.
     """
-    parts = []
+    by_table: dict[str, dict[str, TableMetric]] = {}
     for name, metric in metrics.items():
+        if isinstance(metric, TableMetric):
+            by_table.setdefault(metric.table, {})[name] = metric
+    parts, single = [], {n: m for n, m in metrics.items() if not isinstance(m, TableMetric)}
+
+    def taken(found: DataFrame) -> DataFrame:
+        found = found.select("metric_name", F.col("value").cast("double").alias("value"))
+        if not isolate:
+            return found
+        return spark.createDataFrame([tuple(r) for r in found.collect()], "metric_name string, value double")
+
+    for table, of_table in by_table.items():
+        try:
+            parts.append(taken(_of_one_table(tables, table, of_table, rounding)))
+        except (PySparkException, Py4JJavaError, KeyError):
+            single.update(of_table)
+    for name, metric in single.items():
         try:
-            found = metric(tables, rounding).select(
-                F.lit(name).alias("metric_name"), F.col("value").cast("double").alias("value")
-            )
-            if isolate:
-                found = spark.createDataFrame(
-                    [tuple(r) for r in found.collect()], "metric_name string, value double"
-                )
+            parts.append(taken(metric(tables, rounding).withColumn("metric_name", F.lit(name))))
         except (PySparkException, Py4JJavaError, KeyError):
-            found = spark.createDataFrame([(name, None)], "metric_name string, value double")
-        parts.append(found)
+            parts.append(spark.createDataFrame([(name, None)], "metric_name string, value double"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -152,8 +182,11 @@ class Alert:
 
 def freshness(table: str, column: str, now: Column) -> Metric:
     """Whole hours from the latest value of a date or timestamp column to `now`."""
-    latest = F.max(F.col(column)).cast("timestamp")
-    return _one(table, lambda r: F.timestamp_diff("HOUR", latest, now.cast("timestamp")))
+
+    def hours(rounding: Rounding, of: Callable[[str], Column]) -> Column:
+        return F.timestamp_diff("HOUR", F.max(of(column)).cast("timestamp"), now.cast("timestamp"))
+
+    return TableMetric(table, hours)
 
 
 def standard_alerts(now: Column, *, freshness_of: tuple[str, str] = ("revenue_trends", "month")) -> list[Alert]:

@@ -193,29 +193,45 @@ def data_quality(
     ).orderBy(F.desc("pct_affected"), "check_name")
 
 
+def key_chains(keys: Sequence[Sequence[str]]) -> list[list[Sequence[str]]]:
+    """Candidate keys in chains, finest first, in which each key is part of the one before."""
+    chains: list[list[Sequence[str]]] = []
+    for key in sorted(keys, key=len, reverse=True):
+        chain = next((c for c in chains if set(key) < set(c[-1])), None)
+        if chain is None:
+            chains.append([key])
+        else:
+            chain.append(key)
+    return chains
+
+
 def key_safety(table: str, frame: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
     """Rows, distinct keys and their difference for each candidate key of one table.
 
-    Each key is counted by itself: the scan reads only its columns and the shuffle carries
-    each value once per map task, however often it occurs. Several distinct counts in one
-    aggregate would instead multiply every row by the number of keys. A value of a single
+    Keys that contain one another are counted together: the rows are grouped by the finest, its
+    groups by the next coarser one, and so on, each step carrying the numbers of groups before
+    it. That takes one scan a chain, and every shuffle after the first carries groups, combined
+    map-side, so a value with very many rows stays one row per map task. A value of a single
     column must be present to count; a combination counts also with missing parts.
     """
     parts = []
-    for columns in keys:
-        present = F.col(columns[0]).isNotNull() if len(columns) == 1 else F.lit(True)
-        parts.append(
-            frame.groupBy(*columns)
-            .agg(rows().alias("_n"))
-            .agg(_total("_n").alias("rows"), F.count_if(present).alias("distinct_keys"))
-            .select(
-                F.lit(table).alias("table_name"),
-                F.lit(" + ".join(columns)).alias("candidate_key"),
-                "rows",
-                "distinct_keys",
-                (F.col("rows") - F.col("distinct_keys")).alias("fanout_rows"),
-            )
-        )
+    for chain in key_chains(keys):
+        grouped = frame.groupBy(*chain[0]).agg(rows().alias("_n"))
+        for i, columns in enumerate(chain):
+            if i:
+                grouped = grouped.groupBy(*columns).agg(
+                    F.sum("_n").alias("_n"), *[F.sum(f"_d{j}").alias(f"_d{j}") for j in range(i)])
+            present = F.col(columns[0]).isNotNull() if len(columns) == 1 else F.lit(True)
+            grouped = grouped.withColumn(f"_d{i}", present.cast("long"))
+        totals = grouped.agg(_total("_n").alias("_n"), *[_total(f"_d{i}").alias(f"_d{i}") for i in range(len(chain))])
+        parts.append(rows_from_columns(totals, "candidate_key", [
+            (" + ".join(columns), {
+                "rows": F.col("_n"),
+                "distinct_keys": F.col(f"_d{i}"),
+                "fanout_rows": F.col("_n") - F.col(f"_d{i}"),
+            })
+            for i, columns in enumerate(chain)
+        ]).select(F.lit(table).alias("table_name"), "candidate_key", "rows", "distinct_keys", "fanout_rows"))
     return reduce(DataFrame.unionByName, parts)
 
 

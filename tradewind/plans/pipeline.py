@@ -20,6 +20,7 @@ from tradewind.schema import SOURCES
 from tradewind.sources.layers import (
     current_path, metrics_append, read_history, read_table, table_path, write_layer, write_table,
 )
+from tradewind.sources.loads import load_all_new_files, loaded_rows, read_ledger
 from tradewind.streaming.ingest import ingest_all_new_files
 
 
@@ -35,7 +36,9 @@ class Pipeline:
     failed run can be taken up at any layer. `as_of` stands for today. With a `database`,
     the typed and derived tables are also registered there, with comments and tags. `now` is the
     time alerts are evaluated at, the clock's by default. `loaded` counts the rows that the last
-    refresh read of each fact.
+    refresh read of each fact. Raw files are ingested by a file stream, which knows them by name;
+    with `changed_files` ("refuse" or "reload") a ledger knows them by length and time too, and
+    each file's columns go by its own header.
     """
 
     spark: SparkSession
@@ -50,6 +53,7 @@ class Pipeline:
     registered: dict[str, str] = field(default_factory=dict)
     loaded: dict[str, int] = field(default_factory=dict)
     now: Column | None = None
+    changed_files: str | None = None
 
     @property
     def rules_missing(self) -> str:
@@ -59,16 +63,28 @@ class Pipeline:
     def stored(self, layer: str, names: Mapping | list) -> dict[str, DataFrame]:
         """Tables of a layer as written by this run or an earlier one."""
         known = self.written.get(layer, {})
-        return {
-            n: known[n] if n in known else read_table(self.spark, self.out_root, layer, n) for n in names
-        }
+        return {n: known[n] if n in known else self._stored(layer, n) for n in names}
+
+    def _stored(self, layer: str, name: str) -> DataFrame:
+        if layer == "bronze" and self.changed_files is not None and name in SOURCES:
+            return loaded_rows(self.spark, name, *self.ledger_paths(name))
+        return read_table(self.spark, self.out_root, layer, name)
+
+    def ledger_paths(self, table: str) -> tuple[str, str]:
+        """Where a raw table and its ledger of loaded files are kept."""
+        return f"{self.out_root}/bronze/{table}", f"{self.out_root}/_loads/{table}"
 
     # -- layers ------------------------------------------------------------------------
 
     def bronze(self) -> dict[str, DataFrame]:
-        raw = ingest_all_new_files(
-            self.spark, self.raw_root, f"{self.out_root}/bronze", f"{self.out_root}/_ingest"
-        )
+        if self.changed_files is None:
+            raw = ingest_all_new_files(
+                self.spark, self.raw_root, f"{self.out_root}/bronze", f"{self.out_root}/_ingest"
+            )
+        else:
+            raw = load_all_new_files(
+                self.spark, self.raw_root, f"{self.out_root}/bronze", f"{self.out_root}/_loads",
+                changed=self.changed_files)
         log = write_table(
             validation_log(raw, self.as_of, missing=self.rules_missing), self.out_root, "bronze_checks", "validation_log")
         return {**raw, "validation_log": log}
@@ -161,6 +177,12 @@ class Pipeline:
 
     def load_times(self) -> DataFrame:
         """(table_name, loaded_at): when each raw table last received a file, by the files' own times."""
+        if self.changed_files is not None:
+            newest = F.timestamp_micros(F.max("modified")).alias("loaded_at")
+            return reduce(DataFrame.unionByName, [
+                read_ledger(self.spark, self.ledger_paths(name)[1]).agg(newest).select(F.lit(name).alias("table_name"), "loaded_at")
+                for name in SOURCES
+            ])
         written = F.max(F.col("_metadata.file_modification_time"))
         parts = [
             frame.agg(written.alias("loaded_at")).select(F.lit(name).alias("table_name"), "loaded_at")

@@ -49,8 +49,11 @@ def refresh(pipeline: Pipeline, rollups: Mapping[str, Rollup] = ROLLUPS) -> dict
 
     Gives the rows of a full rebuild. A raw row dated after the `as_of` of its load stays out, as
     it does from the typed table then; a full rebuild with a later `as_of` takes it. Typed tables
-    and derived tables without a rollup are left to `build_layers`.
+    and derived tables without a rollup are left to `build_layers`. Partials cannot take rows back,
+    so raw files must be ingested by the file stream, not by a ledger that loads changed files again.
     """
+    if pipeline.changed_files is not None:
+        raise ValueError("a refresh needs files that do not change; leave changed_files out")
     raw = ingest_all_new_files(
         pipeline.spark, pipeline.raw_root, f"{pipeline.out_root}/bronze", f"{pipeline.out_root}/_ingest")
     for fact in sorted({r.fact for r in rollups.values()}):
