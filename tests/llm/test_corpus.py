@@ -113,6 +113,35 @@ def test_items_without_templates_match_verbatim(spark):
     assert sorted(found) == [(1, 9), (2, 10), (4, 11)]
 
 
+def test_leaks_and_their_sql_agree(spark):
+    import duckdb
+    import pandas as pd
+
+    rng = random.Random(8)
+    train = "a train leaves the old station at 40 km per hour and Anna waits 40 minutes near the long bridge for it"
+    texts = {9: train, 10: "Yes", 11: "What is photosynthesis exactly?", 12: "2 + 2 = 4", 13: "Anna Bob Carl Dora Emil Fritz", 14: "",
+             15: None, 16: "in 1990 the town of Anna had 12 000 people and 12 wells, in 2001 it had 40 wells"}
+    rows = [(1, train), (2, "so " + train.replace("40", "75")), (3, train.replace("40", "75", 1)), (4, "they said yes to it"),
+            (5, "YES"), (6, None), (7, ""), (8, "so 2 + 2 = 4 it is"), (9, "so 2 + 3 = 5 it is"), (None, train), (None, "What is photosynthesis exactly"),
+            (10, train.replace("40", "75")), (10, train.replace("40", "62")), (11, train + " and " + train.replace("Anna", "Eva"))]
+    for i in range(20, 120):
+        words = (texts[rng.choice([9, 9, 11, 12, 13, 16])] or "").split()
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(words))
+            words[at] = rng.choice(["40", "75", "12", "Anna", "Peter", "km", "wells", "the", words[at]])
+        rows.append((i, "we saw " + " ".join(words) + " today"))
+    items = spark.createDataFrame(list(texts.items()), "item_id long, text string")
+    found = decontaminate.leaks(docs_of(spark, [(i, t, "a") for i, t in rows]), items)
+    con = duckdb.connect()
+    for name, key, listed in (("documents", "doc_id", rows), ("benchmark", "item_id", texts.items())):
+        con.register(name, pd.DataFrame(listed, columns=[key, "text"]).astype({key: "Int64", "text": "string"}))
+    result = con.execute(decontaminate.oracle())
+    columns = [c[0] for c in result.description]
+    assert differences(found.columns, [tuple(r) for r in found.collect()], columns, result.fetchall()) is None
+    pairs = {(r.doc_id, r.item_id) for r in found.collect()}
+    assert {(1, 9), (3, 9), (4, 10), (5, 10), (None, 9), (None, 11)} <= pairs and len(pairs) > 50
+
+
 def test_toxicity_generalises(spark):
     rng = random.Random(3)
     calm = ["river", "stone", "window", "garden", "paper", "morning", "bridge", "winter"]

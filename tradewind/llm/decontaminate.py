@@ -213,28 +213,49 @@ def oracle() -> str:
         return (f"SELECT {key}, list_filter(regexp_split_to_array({out}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws "
                 f"FROM {source}")
 
-    slot = f"x[1] IN ('{NUMBER}', '{NAME}', '{UNIT}')"
+    def is_slot(x: str) -> str:
+        return f"{x}[1] IN ('{NUMBER}', '{NAME}', '{UNIT}')"
 
     def cut(source: str, key: str) -> str:
         return (f"SELECT {key}, i AS place, slots, array_to_string(list_transform(slots, lambda x: "
-                f"CASE WHEN {slot} THEN x[1] ELSE x END), ' ') AS win, len(list_filter(slots, lambda x: {slot})) AS n_slots "
+                f"CASE WHEN {is_slot('x')} THEN x[1] ELSE x END), ' ') AS win, len(list_filter(slots, lambda x: {is_slot('x')})) AS n_slots "
                 f"FROM (SELECT {key}, i, ws[i:i + {WINDOW - 1}] AS slots FROM (SELECT {key}, ws, "
                 f"unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM {source} WHERE len(ws) >= {WINDOW}))")
 
+    def exact(key: str, source: str) -> str:
+        """Windows of `length` words with their values, without the marks."""
+        return (f"SELECT {key}, i AS place, length, array_to_string(list_transform(ws[i:i + length - 1], lambda x: "
+                f"CASE WHEN {is_slot('x')} THEN x[2:] ELSE x END), ' ') AS win FROM (SELECT {key}, ws, length, "
+                f"unnest(range(1, len(ws) - length + 2)) AS i FROM {source} WHERE len(ws) >= length)")
+
+    place = "doc_id, item_id, shift"
+    slots_of = f"(SELECT unnest(range(1, {WINDOW + 1})) AS k) WHERE {is_slot('a[k]')}"
+    plain = f"{WINDOW} - len(list_filter(ws[i:i + {WINDOW - 1}], lambda x: {is_slot('x')}))"
     return f"""
 WITH dt AS ({template('documents', 'doc_id')}), bt AS ({template('benchmark', 'item_id')}),
 dw AS ({cut('dt', 'doc_id')}), bw AS (SELECT * FROM ({cut('bt', 'item_id')}) WHERE {WINDOW} - n_slots >= {MIN_PLAIN}),
-n AS (SELECT item_id, count(DISTINCT place) AS n_windows FROM bw GROUP BY item_id),
-met AS (SELECT doc_id, item_id, dw.place - bw.place AS shift, bw.place, bw.slots AS a, dw.slots AS b
-  FROM dw JOIN bw USING (win)),
-v AS (SELECT doc_id, item_id, shift, a[k] AS iv, b[k] AS dv FROM met, (SELECT unnest(range(1, {WINDOW + 1})) AS k)
-  WHERE a[k][1] IN ('{NUMBER}', '{NAME}', '{UNIT}')),
-bad AS (SELECT DISTINCT doc_id, item_id, shift FROM v GROUP BY doc_id, item_id, shift, iv HAVING count(DISTINCT dv) > 1),
-good AS (SELECT DISTINCT doc_id, item_id, place, shift FROM met ANTI JOIN bad USING (doc_id, item_id, shift)),
-gv AS (SELECT doc_id, item_id, count(*) AS n_slots, bool_and(iv = dv) AS verbatim FROM (
-  SELECT DISTINCT doc_id, item_id, iv, dv FROM v ANTI JOIN bad USING (doc_id, item_id, shift)) GROUP BY doc_id, item_id),
-c AS (SELECT doc_id, item_id, count(DISTINCT place) AS n_matched FROM good GROUP BY doc_id, item_id)
-SELECT doc_id, item_id, n_windows, n_matched, coalesce(n_slots, 0) AS n_slots, coalesce(verbatim, true) AS verbatim
-FROM c JOIN n USING (item_id) LEFT JOIN gv USING (doc_id, item_id)
-WHERE n_matched >= {COVERAGE} * n_windows
+few AS (SELECT item_id, ws, least(len(ws), {WINDOW}) AS length FROM bt WHERE len(ws) BETWEEN 1 AND {WINDOW - 1}
+  OR len(list_filter(range(1, len(ws) - {WINDOW - 2}), lambda i: {plain} < {MIN_PLAIN})) > 0),
+bx AS ({exact('item_id', 'few')}),
+dx AS ({exact('doc_id', '(SELECT doc_id, ws, length FROM dt, (SELECT DISTINCT length FROM few))')}),
+n AS (SELECT item_id, count(DISTINCT place) FILTER (NOT is_exact) AS n_windows, count(DISTINCT place) FILTER (is_exact) AS n_exact
+  FROM (SELECT item_id, place, false AS is_exact FROM bw UNION ALL SELECT item_id, place, true FROM bx) GROUP BY item_id),
+met AS (SELECT DISTINCT doc_id, item_id, dw.place - bw.place AS shift, bw.place, bw.slots AS a, dw.slots AS b FROM dw JOIN bw USING (win)),
+-- The value of the document at most places stands for the item's value; windows with another one are lost.
+v AS (SELECT DISTINCT {place}, place + k AS spot, a[k] AS iv, b[k] AS dv FROM met, {slots_of}),
+ranked AS (SELECT {place}, iv, dv, row_number() OVER (PARTITION BY {place}, iv ORDER BY count(*) DESC, dv) AS r FROM v GROUP BY {place}, iv, dv),
+lost AS (SELECT m.doc_id, m.item_id, m.shift, m.place, m.a, m.b FROM (SELECT *, a[k] AS iv, b[k] AS dv FROM met, {slots_of}) m JOIN ranked r
+  ON m.doc_id IS NOT DISTINCT FROM r.doc_id AND m.item_id IS NOT DISTINCT FROM r.item_id AND m.shift = r.shift AND m.iv = r.iv AND m.dv = r.dv AND r.r > 1),
+kept AS (SELECT {place}, place, a, b FROM met EXCEPT SELECT {place}, place, a, b FROM lost),
+vals AS (SELECT doc_id, item_id, count(*) AS n_slots, bool_and(iv = dv) AS verbatim FROM (
+  SELECT DISTINCT doc_id, item_id, a[k] AS iv, b[k] AS dv FROM kept, {slots_of}) GROUP BY doc_id, item_id),
+c AS (SELECT doc_id, item_id, count(DISTINCT place) FILTER (NOT is_exact) AS by_template, count(DISTINCT place) AS by_both
+  FROM (SELECT doc_id, item_id, place, false AS is_exact FROM kept
+    UNION ALL SELECT doc_id, item_id, bx.place, true FROM dx JOIN bx USING (length, win)) GROUP BY doc_id, item_id),
+j AS (SELECT c.*, n_windows, n_exact, n_windows > 0 AND by_template >= {COVERAGE} * n_windows AS fits
+  FROM c JOIN n ON c.item_id IS NOT DISTINCT FROM n.item_id)
+SELECT j.doc_id, j.item_id, CASE WHEN fits THEN n_windows ELSE n_exact END AS n_windows,
+  CASE WHEN fits THEN by_template ELSE by_both END AS n_matched, coalesce(n_slots, 0) AS n_slots, coalesce(verbatim, true) AS verbatim
+FROM j LEFT JOIN vals ON j.doc_id IS NOT DISTINCT FROM vals.doc_id AND j.item_id IS NOT DISTINCT FROM vals.item_id
+WHERE fits OR (n_exact > 0 AND by_both >= {COVERAGE} * n_exact)
 """
