@@ -113,3 +113,12 @@ def test_stage_links_near_copies(spark):
     docs = spark.createDataFrame(rows, SCHEMA)
     assert sorted(r.doc_id for r in corpus_pipeline.one_of_each(spark, docs, "").collect()) == [1, 3]
     assert sorted(r.doc_id for r in one_per_class(docs).collect()) == [1, 2, 3]
+
+
+def test_short_texts_never_enter_lists(spark):
+    """Sets too small to be linked with a different one: equal texts are one class, others stay alone."""
+    rows = [(i, f"click here to log in user{i // 2}") for i in range(600)] + [(900, "a b c d e f g h i j k l"), (901, "a b c d e f g h i j k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in shingle_classes(docs).collect()}
+    assert found == {**{i: i - i % 2 for i in range(600)}, 900: 900, 901: 900}
+    assert set(found.items()) == {(i, c) for i, _, c in brute(rows)}

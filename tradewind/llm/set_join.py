@@ -125,6 +125,11 @@ def common_shingles(docs: DataFrame, most: int = COMMON, k: int = WORDS) -> np.n
     return top["shingle"].to_numpy()[::-1].astype(np.int64).view(np.uint64)
 
 
+def least_size(percent: int) -> int:
+    """The least size of a set that can be linked with a different one: y / (y + 1) >= percent."""
+    return -(-percent // (100 - percent)) if percent < 100 else 1 << 62
+
+
 def prefix_length(size: int, percent: int = PERCENT) -> int:
     return min(size, size - -(-percent * size // 100) + MEETINGS)
 
@@ -307,7 +312,8 @@ def shingle_classes(docs: DataFrame, *, k: int = WORDS, percent: int = PERCENT,
         F.min("print").alias("print"))
     # Equal sets are one: the smallest doc_id stands for all.
     first = stored(chosen.groupBy("print").agg(F.min("doc_id").alias("id")), "sets")
-    entries = prefixes.alias("p").join(
+    # Smaller sets are linked with equal ones only, which are one already.
+    entries = prefixes.where(F.col("n_shingles") >= least_size(percent)).alias("p").join(
         first.alias("f"), F.expr("p.doc_id = f.id and p.print = f.print")
     ).select("f.id", F.col("n_shingles").alias("n"), "prefix").dropDuplicates(["id"])
     entries = entries.select("id", "n", F.posexplode("prefix").alias("pos", "shingle")).select(

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import components, discard, ship, small_or_shuffled, stored
-from tradewind.llm.set_join import WordHashes, fingerprint, shingle_set
+from tradewind.llm.set_join import WordHashes, fingerprint, least_size, shingle_set
 
 WORDS, PERCENT, KEEP = 4, 80, 512
 # Chance with which a linked pair of truncated sets may escape one of the two bounds.
@@ -68,11 +68,6 @@ def fewest(n: int, keep: int, percent: int, risk: float = RISK) -> int:
     return 1
 
 
-def least_size(percent: int) -> int:
-    """The least size of a set that can be linked with a different one: y / (y + 1) >= percent."""
-    return -(-percent // (100 - percent)) if percent < 100 else 1 << 62
-
-
 def entry_lengths(n: int, keep: int, percent: int) -> tuple[int, int]:
     """(longer, shorter): values of a set's sketch to look up smaller partners by, and larger ones."""
     if 100 * n // percent <= keep:
