@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tradewind.functions.ledger import rows_from_columns, stack_sources, with_keys
 from tradewind.functions.measures import rows
+from tradewind.functions.membership import MOST_BLOCKS, key_blocks, kind_of, with_membership
 
 # Finding kinds with their severity (1 = worst), and the name patterns
 # that mark amounts, percentages and identifiers.
@@ -432,17 +433,51 @@ def _fanout(audit: Audit) -> list[DataFrame]:
 
 
 def orphan_counts(
-    children: Sequence[tuple[str, str, DataFrame]], parent: DataFrame, key: str
+    children: Sequence[tuple[str, str, DataFrame]], parent: DataFrame, key: str, *, most_blocks: int = MOST_BLOCKS
 ) -> DataFrame:
     """Rows of each child column, and those whose value no parent row has.
 
-    All children of one parent meet it in one ledger by value: the parent is shuffled once,
-    and a value with very many child rows reaches its reducer as one row per map task.
+    Keys that fill at most `most_blocks` bitmaps settle the children of the same kind of column where
+    they are read: no child row is shuffled, only two counts a task. All others meet the parent in a ledger.
+    """
+    kind = kind_of(parent.schema[key].dataType)
+    alike = [c for c in children if kind and kind_of(c[2].schema[c[1]].dataType) == kind]
+    blocks = key_blocks(parent, key, most=most_blocks) if alike else None
+    parts = []
+    if blocks is not None:
+        parts = [
+            with_membership(frame.select(F.col(f"`{column}`").alias("_key")), "_key", blocks, "_known").agg(
+                F.lit(table).alias("table_name"),
+                F.lit(column).alias("column_name"),
+                F.count_if(~F.col("_known")).alias("affected_rows"),
+                rows().alias("total_rows"),
+            )
+            for table, column, frame in alike
+        ]
+    rest = [c for c in children if blocks is None or c not in alike]
+    if rest:
+        parts.append(_orphans_by_ledger(rest, parent, key))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _orphans_by_ledger(
+    children: Sequence[tuple[str, str, DataFrame]], parent: DataFrame, key: str
+) -> DataFrame:
+    """`orphan_counts` for any keys: all children of one parent meet it in one ledger by value.
+
+    The parent is shuffled once, and a value with very many child rows reaches its reducer as
+    one row per map task. Keys of which some are text and some are not are compared as text.
     """
     one = F.lit(1).cast("long")
-    known = with_keys(parent.select(F.col(f"`{key}`").alias("_key")), ["_key"])
-    sources = [(known, {"_parent": one})] + [
-        (frame.select(F.col(f"`{column}`").alias("_key")), {f"_{i}": one})
+    types = [parent.schema[key].dataType, *(frame.schema[column].dataType for _, column, frame in children)]
+    mixed = len({isinstance(t, T.StringType) for t in types}) > 1
+
+    def keys(frame: DataFrame, column: str) -> DataFrame:
+        value = F.col(f"`{column}`")
+        return frame.select((value.cast("string") if mixed else value).alias("_key"))
+
+    sources = [(with_keys(keys(parent, key), ["_key"]), {"_parent": one})] + [
+        (keys(frame, column), {f"_{i}": one})
         for i, (_, column, frame) in enumerate(children)
     ]
     every = range(len(children))

@@ -89,7 +89,7 @@ FORECAST: dict[str, Builder] = {
     "forecast_accuracy_summary": lambda x: f.forecast_accuracy_summary(
         x.table("forecast_accuracy"), rounding=x.rounding),
     "reactivation_targets": lambda x: f.reactivation_targets(
-        x.star["fact_orders"], x.star["dim_customer"], rounding=x.rounding),
+        x.star["fact_orders"], x.star["dim_customer"], as_of=x.as_of, rounding=x.rounding),
     "reactivation_summary": lambda x: f.reactivation_summary(
         x.table("reactivation_targets"), rounding=x.rounding),
 }
