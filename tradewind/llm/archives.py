@@ -29,8 +29,8 @@ FIELDS = {
 }
 ENDING = b"\r\n\r\n"
 MIN_REVISIT_BYTES = 100
-# Records in one WARC file, which bounds what a reading task holds at once.
-FILE_RECORDS = 2_000
+# A WARC file takes records up to so many bytes, or a single larger one; a reading task holds one file.
+FILE_BYTES = 32 << 20
 # A batch becomes one ARC archive of at most so many bytes, or a single larger record.
 ARCHIVE_BYTES = 8 << 20
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:tradewind:archives")
@@ -106,28 +106,44 @@ def headers_of(part: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines if x)}
 
 
-def record_uri(key: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(NAMESPACE, key)}>"
+def record_uri(key: str, digest: str) -> str:
+    """Identifier of a record: keys that come with several payloads make several."""
+    return f"<urn:uuid:{uuid.uuid5(NAMESPACE, f'{key}:{digest}')}>"
+
+
+def warc_info(first: bytes) -> bytes:
+    """The record that opens a WARC file, without the final blank lines; named after the record that follows."""
+    body = b"software: tradewind\r\nformat: WARC File Format 1.1\r\n"
+    lines = [
+        "WARC/1.1", "WARC-Type: warcinfo",
+        f"WARC-Record-ID: {record_uri('warcinfo', hashlib.sha256(first).hexdigest())}",
+        f"WARC-Date: {stamped(DATE)}", "Content-Type: application/warc-fields", f"Content-Length: {len(body)}",
+    ]
+    return "\r\n".join(lines).encode() + ENDING + body
+
+
+def stamped(date: str) -> str:
+    date = date.ljust(14, "0")
+    return f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"
 
 
 def warc_record(record: ArcRecord, key: str, original: str | None) -> bytes:
     """The WARC record of an ARC record, without the final blank lines.
 
-    `key` names the record; its identifier is made from that, so a repeated task writes the
-    same bytes. With `original`, the key of a record of equal payload, it becomes a revisit
-    that keeps the HTTP headers only and the digest and length of the full payload.
+    `key` names the record; its identifier is made from that and the payload's digest, so a
+    repeated task writes the same bytes. With `original`, the key of a record of equal payload,
+    it becomes a revisit that keeps the HTTP headers only and the digest and length of the full payload.
     """
     http, payload = split_http(record.body)
-    date = record.fields["date"].ljust(14, "0")
-    stamp = f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"
+    digest = hashlib.sha256(payload).hexdigest()
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'response' if original is None else 'revisit'}",
-        f"WARC-Record-ID: {record_uri(key)}",
-        f"WARC-Date: {stamp}",
+        f"WARC-Record-ID: {record_uri(key, digest)}",
+        f"WARC-Date: {stamped(record.fields['date'])}",
         f"WARC-Target-URI: {record.fields['url']}",
         f"WARC-IP-Address: {record.fields['ip']}",
-        f"WARC-Payload-Digest: sha256:{hashlib.sha256(payload).hexdigest()}",
+        f"WARC-Payload-Digest: sha256:{digest}",
         f"X-Payload-Length: {len(payload)}",
         f"X-Record-Key: {key}",
     ]
@@ -136,7 +152,7 @@ def warc_record(record: ArcRecord, key: str, original: str | None) -> bytes:
         block = http
         lines += [
             "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-            f"WARC-Refers-To: {record_uri(original)}",
+            f"WARC-Refers-To: {record_uri(original, digest)}",
             f"X-Refers-To-Key: {original}",
         ]
     lines += [
@@ -189,13 +205,29 @@ def _archives(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bytes, list[s
         yield closed()
 
 
-def _convert(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for archive, refers in _archives(batches):
-        made = []
-        for record, original in zip(parse_arc(archive), refers, strict=True):
-            key = headers_of(split_http(record.body)[0])["x-record-key"]
-            made.append(warc_record(record, key, original))
-        yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["record"])
+def _convert(file_bytes: int):
+    """Archives to WARC files: each row holds the records of one file, without the last blank lines."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def closed():
+            return pa.RecordBatch.from_arrays(
+                [pa.array([ENDING.join([warc_info(held[0]), *held])], pa.binary())], ["records"])
+
+        for archive, refers in _archives(batches):
+            for record, original in zip(parse_arc(archive), refers, strict=True):
+                key = headers_of(split_http(record.body)[0])["x-record-key"]
+                made = warc_record(record, key, original)
+                if held and size + len(made) > file_bytes:
+                    yield closed()
+                    held, size = [], 0
+                held.append(made)
+                size += len(made)
+        if held:
+            yield closed()
+
+    return run
 
 
 def payload_digest() -> Column:
@@ -217,16 +249,17 @@ def revisits(pages: DataFrame) -> DataFrame:
         "page_id", "digest", F.col("original").cast("string").alias("original")).distinct()
 
 
-def pages_to_warc(pages: DataFrame, folder: str, *, file_records: int = FILE_RECORDS) -> None:
+def pages_to_warc(pages: DataFrame, folder: str, *, file_bytes: int = FILE_BYTES) -> None:
     """Writes one WARC record per row of (page_id, url, html) into files of a folder.
 
     The pages pass through ARC archives of both versions and the converter. Spark's own writer
     puts the bytes down, so retries and lost executors leave no half file, on any file system
-    Spark reaches: a text line is written as its raw bytes, and the line end is the blank lines
-    that end a WARC record. A null html is an empty payload, a null url becomes "-"; a null
+    Spark reaches: a text line, here a whole file, is written as its raw bytes, and the line end is
+    the blank lines that end a WARC record. A file holds a warcinfo record and up to `file_bytes`
+    of records, or one larger record. A null html is an empty payload, a null url becomes "-"; a null
     page_id gives the key "null" and is never a revisit. Rows that repeat a page_id with one
-    payload are all written; none revisits itself. Rows that repeat one with different payloads
-    each go by their own payload.
+    payload are all written, under one record identifier; none revisits itself. Rows that repeat one
+    with different payloads each go by their own payload and identifier.
     """
     found = small_or_shuffled(stored(revisits(pages), "revisits"))
     long = F.octet_length("html") >= MIN_REVISIT_BYTES
@@ -234,9 +267,9 @@ def pages_to_warc(pages: DataFrame, folder: str, *, file_records: int = FILE_REC
         found, ["page_id", "digest"], "left").select(
         F.coalesce(F.col("page_id").cast("string"), F.lit("null")).alias("key"), "url", "original",
         F.col("html").cast("binary").alias("payload"))
-    records = rows.mapInArrow(_convert, "record binary")
-    records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").option(
-        "maxRecordsPerFile", file_records).text(folder)
+    files = rows.mapInArrow(_convert(file_bytes), "records binary")
+    files.select(F.col("records").cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").option(
+        "maxRecordsPerFile", 1).text(folder)
 
 
 def _entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,6 +278,8 @@ def _entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(batch.num_rows):
             for headers, block in parse_warc(batch.column(0)[i].as_py()):
                 kind = headers["warc-type"]
+                if kind == "warcinfo":
+                    continue
                 length, digest = int(headers["x-payload-length"]), headers["warc-payload-digest"].removeprefix("sha256:")
                 if kind == "response":
                     payload = split_http(block)[1]
