@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tradewind.llm import archives, private, secrets, tagger, token_files
 from tradewind.llm.registry import tokenizer_file
@@ -257,3 +258,37 @@ def test_one_page_id_with_two_payloads(spark):
     assert sorted(found, key=str) == sorted([
         (1, digest[one], "response", None), (2, digest[two], "response", None), (3, digest[one], "revisit", 1),
         (3, digest[two], "revisit", 2), (3, digest[three], "response", None), (3, digest["tiny"], "response", None)], key=str)
+
+
+def test_record_identifiers_and_files_by_bytes(spark, tmp_path):
+    html = [f"{i:04d}" + "é" * (200_000 if i % 40 == 0 else 900) for i in range(150)] + ["same" * 50] * 30
+    rows = [(i // 2, f"http://x/{i}", h) for i, h in enumerate(html)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    folder = str(tmp_path / "warc")
+    archives.pages_to_warc(pages, folder, file_bytes=100_000)
+    seen, referred, sizes = {}, set(), []
+    for path in (tmp_path / "warc").glob("part-*"):
+        data = path.read_bytes()
+        records = list(archives.parse_warc(data))
+        assert records[0][0]["warc-type"] == "warcinfo" and len(records) > 1
+        assert len(data) < 110_000 or len(records) == 2
+        sizes.append(len(data))
+        for headers, _ in records:
+            seen.setdefault(headers["warc-record-id"], set()).add((headers.get("x-record-key"), headers.get("warc-payload-digest")))
+            referred.add(headers.get("warc-refers-to"))
+    assert len(sizes) > 6 and max(sizes) > 400_000
+    assert all(len(kinds) == 1 for kinds in seen.values())
+    assert referred - {None} and referred - {None} <= set(seen)
+    found = [(r.key, r.payload_bytes) for r in archives.read_warc(spark, folder).collect()]
+    assert sorted(found) == sorted((str(i), len(h.encode())) for i, _, h in rows)
+
+
+def test_token_files_by_bytes(spark, tmp_path):
+    rows = [(i, "word " * (3_000 if i % 10 == 5 else i % 7)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_files.tokens_of(docs, tokenizer_file()).collect()}
+    folder, path = token_files.tokens_and_index(docs, tokenizer_file(), file_bytes=400)
+    cut = spark.read.parquet(path)
+    assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in cut.collect()} == plain
+    per_file = cut.groupBy("path").agg(F.count("*").alias("n"), F.sum("length").alias("bytes")).collect()
+    assert len(per_file) > 6 and all(r.n == 1 or r.bytes <= 400 for r in per_file)

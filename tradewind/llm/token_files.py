@@ -32,8 +32,9 @@ from tradewind.llm.common import BROADCAST_KEYS, scratch_path, ship, stored, wor
 # The mask's constant, and the id that ends a document.
 MASK_DELTA = 0xA282EAD8
 END_ID = 2
-# Records in one file; it bounds what a reading task takes at once.
+# Records in one file, and their bytes (or a single larger record); a reading task takes one file at once.
 FILE_DOCUMENTS = 4_000
+FILE_BYTES = 32 << 20
 CACHED_PIECES = 300_000
 BATCH_CHARS = 3_000_000
 ENCODED_PIECES = 20_000
@@ -174,7 +175,9 @@ class Encoder:
         return out
 
 
-def _writer(path: str, end_id: int):
+def _writer(path: str, end_id: int, file_documents: int, file_bytes: int):
+    """Encodes texts in order; each row returned holds the records of one file, without the last end mark."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoders = worker_state("encoders")
         if path not in encoders:
@@ -182,41 +185,58 @@ def _writer(path: str, end_id: int):
         encoder = encoders[path]
 
         def framed(rows, texts):
-            made = [frame_record(r, ids, encoder.width) for r, ids in zip(rows, encoder.batch(texts, end_id))]
-            return pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["record"])
-
-        rows, texts, held = [], [], 0
-        for batch in batches:
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rows.append(row)
-                texts.append(text.as_py() or "")
-                held += len(texts[-1])
-                if held >= BATCH_CHARS:
-                    yield framed(rows, texts)
-                    rows, texts, held = [], [], 0
-        if rows:
-            yield framed(rows, texts)
+            for r, ids in zip(rows, encoder.batch(texts, end_id)):
+                yield frame_record(r, ids, encoder.width)
+
+        def files():
+            records, size = [], 0
+            for record in encoded():
+                if records and (len(records) >= file_documents or size + len(record) > file_bytes):
+                    yield b"\n".join(records)
+                    records, size = [], 0
+                records.append(record)
+                size += len(record) + 1
+            if records:
+                yield b"\n".join(records)
+
+        def encoded():
+            rows, texts, held = [], [], 0
+            for batch in batches:
+                for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    rows.append(row)
+                    texts.append(text.as_py() or "")
+                    held += len(texts[-1])
+                    if held >= BATCH_CHARS:
+                        yield from framed(rows, texts)
+                        rows, texts, held = [], [], 0
+            if rows:
+                yield from framed(rows, texts)
+
+        for content in files():
+            yield pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["records"])
 
     return run
 
 
 def write_tokens(
-    docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: int = END_ID, file_documents: int = FILE_DOCUMENTS
+    docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: int = END_ID,
+    file_documents: int = FILE_DOCUMENTS, file_bytes: int = FILE_BYTES,
 ) -> None:
     """Writes the ids of every (doc_id, text) row into files below `folder`, in ascending doc_id order.
 
     The texts are range-partitioned and sorted by doc_id, null first, and encoded after that,
     so each is encoded once. Part names follow the order. Spark's writer puts the records down
-    as raw bytes; a retry replaces a part as a whole. A null text is empty and holds the end id
+    as raw bytes, a line per file; a retry replaces a part as a whole. A file holds up to
+    `file_documents` records of up to `file_bytes` together, or one larger record. A null text is empty and holds the end id
     only. Equal ids, and equal rows, stay next to each other.
     """
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     # The least long stands for no id.
     rows = ordered.select(F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("row"), "text")
     signed = rows.select(F.col("row").cast("long").alias("row"), "text").mapInArrow(
-        _signed(_writer(tokenizer_path, end_id)), "record binary")
-    signed.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").option(
-        "maxRecordsPerFile", file_documents).text(folder)
+        _signed(_writer(tokenizer_path, end_id, file_documents, file_bytes)), "records binary")
+    signed.select(F.col("records").cast("string").alias("value")).write.option("lineSep", "\n").option(
+        "maxRecordsPerFile", 1).text(folder)
 
 
 def _signed(run):
