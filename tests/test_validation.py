@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tradewind.operators import conform, rules
+from tradewind.plans.sample_star import SampleStar
 from tradewind.schema import SOURCES
 
 
@@ -121,3 +123,20 @@ def test_infinite_amounts_and_tables_without_active_rules(spark, as_of):
     assert [r[0] for r in values.select(rules.holds(rule, as_of)).collect()] == [False, False, False, True]
     bare = spark.createDataFrame([("x",)], "other string")
     assert rules.rejects_by_rule({"orders": bare}, as_of, missing="skip").count() == 0
+
+
+def test_rejects_are_counted_by_the_write(spark, sample, as_of, tmp_path):
+    raw = dict(SampleStar(spark, sample).raw())
+    raw["payments"] = raw["payments"].limit(0)
+    raw["returns"] = spark.createDataFrame([], raw["returns"].schema)
+    raw["orders"] = raw["orders"].withColumn("order_id", F.when(F.crc32("order_id") % 7 != 0, F.col("order_id")))
+    seen = {t: Observation() for t in raw}
+    for table, frame in raw.items():
+        kept = rules.watched(table, frame, as_of, seen[table]).where(rules.keep(table, frame, as_of))
+        kept.write.parquet(str(tmp_path / table))
+    totals, by_rule = rules.rejects_seen(raw, seen)
+    expected = rules.validation_rejects(raw, as_of, missing="skip")
+    assert [tuple(r) for r in totals.collect()] == [tuple(r) for r in expected.collect()]
+    assert totals.first()["rejected_rows"] > 0
+    assert sorted(map(tuple, by_rule.collect())) == sorted(
+        map(tuple, rules.rejects_by_rule(raw, as_of, missing="skip").collect()))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tradewind.functions.ledger import rows_from_columns
@@ -127,6 +127,48 @@ def keep(table: str, frame: DataFrame, as_of: Column) -> Column:
     return reduce(lambda a, b: a & b, passed, F.lit(True))
 
 
+def first_failure(rules: Sequence[Rule], as_of: Column) -> Column:
+    """Number of the first rule that rejects the row; null if none does."""
+    return F.coalesce(*[F.when(filter_failure(r, as_of), F.lit(i)) for i, r in enumerate(rules)], F.lit(None).cast("int"))
+
+
+def watched(table: str, frame: DataFrame, as_of: Column, seen: Observation) -> DataFrame:
+    """The frame; whatever action reads all of it also counts its rows, and those each rule rejects first.
+
+    What is made from it should be written once: `seen` holds the counts of the first action. In a
+    write without a shuffle every partition counts once, also if its task is repeated.
+    """
+    rules = active_rules(table, frame)
+    return (
+        frame.withColumn("_first_failure", first_failure(rules, as_of))
+        .observe(seen, rows().alias("rows"), *[
+            F.count_if(F.col("_first_failure") == i).alias(f"rule{i}") for i in range(len(rules))])
+        .drop("_first_failure")
+    )
+
+
+def rejects_seen(raw: Mapping[str, DataFrame], seen: Mapping[str, Observation]) -> tuple[DataFrame, DataFrame]:
+    """`validation_rejects` and `rejects_by_rule` from the counts of `watched` frames, without reading them again.
+
+    Blocks until every watched frame was read. A table that is known to be empty counts 0.
+    """
+    spark = next(iter(raw.values())).sparkSession
+    totals, by_rule = [], []
+    for table, frame in raw.items():
+        counts = seen[table].get
+        name, total = SOURCES[table].typed, counts.get("rows", 0)
+        failed = [(r, counts.get(f"rule{i}", 0)) for i, r in enumerate(active_rules(table, frame))]
+        rejected = sum(n for _, n in failed)
+        totals.append((name, total, total - rejected, rejected))
+        by_rule += [(name, r.column, r.kind, n) for r, n in failed if n]
+    return (
+        spark.createDataFrame(
+            totals, "silver_table string, bronze_rows bigint, silver_rows bigint, rejected_rows bigint"
+        ).orderBy(F.desc("rejected_rows"), "silver_table"),
+        spark.createDataFrame(by_rule, "silver_table string, column_name string, rule string, rejected_rows bigint"),
+    )
+
+
 def validation_log(raw: Mapping[str, DataFrame], as_of: Column, *, missing: str = "raise") -> DataFrame:
     """Failing rows per (source_table, column_name, rule): one pass over each table.
 
@@ -186,11 +228,10 @@ def rejects_by_rule(raw: Mapping[str, DataFrame], as_of: Column, *, missing: str
     parts = []
     for table, frame in raw.items():
         rules = active_rules(table, frame)
-        first = F.coalesce(*[F.when(filter_failure(r, as_of), F.lit(i)) for i, r in enumerate(rules)], F.lit(None).cast("int"))
         names = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(k).alias("k"))
                           for c, k in [*((r.column, r.kind) for r in rules), ("", "")]])
         parts.append(
-            frame.select(first.alias("_rule"))
+            frame.select(first_failure(rules, as_of).alias("_rule"))
             .where(F.col("_rule").isNotNull())
             .groupBy("_rule")
             .agg(rows().alias("rejected_rows"))

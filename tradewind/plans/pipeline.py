@@ -8,13 +8,13 @@ from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.measures import PUBLISHED, Rounding
 from tradewind.operators import metadata, metrics
 from tradewind.operators.conform import conform_all
-from tradewind.operators.rules import rejects_by_rule, validation_log, validation_rejects
+from tradewind.operators.rules import check_columns, rejects_seen, validation_log, watched
 from tradewind.plans import gold
 from tradewind.schema import SOURCES
 from tradewind.sources.layers import (
@@ -90,17 +90,16 @@ class Pipeline:
         return {**raw, "validation_log": log}
 
     def silver(self) -> dict[str, DataFrame]:
+        """Typed tables, and the rejected rows, which are counted while the typed tables are written."""
         raw = self.stored("bronze", list(SOURCES))
-        typed = metadata.tag_columns(conform_all(raw, self.as_of, missing=self.raw_missing))
-        return write_layer(
-            {
-                **typed,
-                "validation_rejects": validation_rejects(raw, self.as_of, missing=self.rules_missing),
-                "rejects_by_rule": rejects_by_rule(raw, self.as_of, missing=self.rules_missing),
-            },
-            self.out_root,
-            "silver",
-        )
+        check_columns(raw, self.rules_missing)
+        seen = {name: Observation() for name in raw}
+        read_once = {name: watched(name, frame, self.as_of, seen[name]) for name, frame in raw.items()}
+        typed = metadata.tag_columns(conform_all(read_once, self.as_of, missing=self.raw_missing))
+        tables = write_layer(typed, self.out_root, "silver")
+        rejects, by_rule = rejects_seen(raw, seen)
+        return tables | write_layer(
+            {"validation_rejects": rejects, "rejects_by_rule": by_rule}, self.out_root, "silver")
 
     def star(self) -> dict[str, DataFrame]:
         return self.stored("silver", [s.typed for s in SOURCES.values()])
