@@ -180,3 +180,10 @@ def test_a_repeated_run_is_stored_once(spark, tmp_path):
     for run in ("r1", "r2", "r1"):
         layers.metrics_append(rows.withColumn("run_id", F.lit(run)), path)
     assert layers.read_history(spark, path).count() == 2
+
+
+def test_profile_reads_a_table_once(spark, sample):
+    orders = spark.read.parquet(f"{sample}/orders.parquet")
+    counts = audit._column_counts("orders", orders, orders.schema.fields)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 2

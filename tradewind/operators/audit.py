@@ -102,35 +102,40 @@ def _shuffled_as(field_: T.StructField) -> str:
 
 
 def _column_counts(table: str, frame: DataFrame, columns: Sequence[T.StructField]) -> DataFrame:
-    """(table_name, column_name, rows, non_null, distinct) with exact counts.
+    """(table_name, column_name, rows, non_null, distinct) with exact counts, in one scan and one shuffle.
 
-    Columns of one kind are unpivoted together to (column, value) and counted twice: first
-    per value - combined map-side, so frequent values shrink before the shuffle - then per
-    column. At most three scans per table, each of its own columns, and numbers stay numbers.
+    The columns of a row become rows (column, value) and are counted twice: first per value -
+    combined map-side, so frequent values shrink before the shuffle - then per column. A value
+    lies in the part of its kind, so numbers stay numbers. Columns go by their number.
     """
-    parts = []
-    for kind in ("bigint", "double", "string"):
-        fields = [f for f in columns if _shuffled_as(f) == kind]
-        if not fields:
-            continue
-        values = [
-            f"{comparable(f) if kind == 'string' else f'CAST({quoted(f.name)} AS {kind})'} AS {quoted(f.name)}"
-            for f in fields
-        ]
-        parts.append(
-            frame.selectExpr(*values)
-            .unpivot([], [quoted(f.name) for f in fields], "column_name", "_value")
-            .groupBy("column_name", "_value")
-            .agg(rows().alias("_n"))
-            .groupBy("column_name")
-            .agg(
-                F.sum("_n").alias("rows"),
-                F.expr("coalesce(sum(IF(_value IS NOT NULL, _n, NULL)), 0)").alias("non_null"),
-                F.count("_value").alias("distinct"),
-            )
-            .withColumn("table_name", F.lit(table))
+    kinds = [k for k in ("bigint", "double", "string") if any(_shuffled_as(f) == k for f in columns)]
+
+    def cell(f: T.StructField) -> str:
+        own = _shuffled_as(f)
+        value = comparable(f) if own == "string" else f"CAST({quoted(f.name)} AS {own})"
+        parts = ", ".join(f"'{k}', {value if k == own else f'CAST(NULL AS {k})'}" for k in kinds)
+        return f"IF({quoted(f.name)} IS NULL, NULL, named_struct({parts}))"
+
+    names = F.array(*[F.lit(f.name) for f in columns])
+    held = reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in kinds])
+    return (
+        frame.selectExpr(*[f"{cell(f)} AS `{i}`" for i, f in enumerate(columns)])
+        .unpivot([], [str(i) for i in range(len(columns))], "_column", "_value")
+        .select(F.col("_column").cast("int").alias("_column"), "_value.*")
+        .groupBy("_column", *kinds)
+        .agg(rows().alias("_n"))
+        .groupBy("_column")
+        .agg(
+            F.sum("_n").alias("rows"),
+            F.coalesce(F.sum(F.when(held, F.col("_n"))), F.lit(0)).alias("non_null"),
+            F.count_if(held).alias("distinct"),
         )
-    return reduce(DataFrame.unionByName, parts)
+        .select(
+            F.lit(table).alias("table_name"),
+            F.element_at(names, F.col("_column") + 1).alias("column_name"),
+            "rows", "non_null", "distinct",
+        )
+    )
 
 
 def _declared(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
