@@ -267,8 +267,9 @@ def near_classes(docs: DataFrame, *, k: int = WORDS, percent: int = PERCENT, kee
     chosen = named.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.min("print").alias("print"))
     # Equal sets are one: the smallest doc_id stands for all.
     first = stored(chosen.groupBy("print").agg(F.min("doc_id").alias("id")), "prints")
+    # Prints are compared as bounds, so that the join is by id alone and its shuffle serves the next step too.
     sets = stored(sketched.where(F.col("n_shingles") >= least_size(percent)).alias("s").join(
-        first.alias("f"), F.expr("s.doc_id = f.id and s.print = f.print")).select(
+        first.alias("f"), F.expr("s.doc_id = f.id and s.print >= f.print and s.print <= f.print")).select(
             "f.id", F.col("n_shingles").alias("n"), "hits", "sketch").dropDuplicates(["id"]), "sets")
     discard(sketched)
 
