@@ -42,6 +42,8 @@ RISK = 1e-9
 FREQUENT, FREQUENT_FROM, COUNTED = 131_072, 8, 2_000_000
 # Rounds against a list's centre, and entries of a list, or pairs of a set, that one task takes at once.
 CENTRE_ROUNDS, PORTION = 2, 2_000
+# Sets that a Python worker makes sketches or list entries of at once.
+BATCH_ROWS = 1_000
 
 ship(__name__)
 
@@ -76,12 +78,19 @@ def entry_lengths(n: int, keep: int, percent: int) -> tuple[int, int]:
     return length, length
 
 
+def _portions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of batches, since a sketch takes more room than most texts."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
+
+
 def _sketcher(k: int, keep: int, percent: int):
     half = np.uint64(1 << 63)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in _portions(batches):
             sizes, hits, prints, kept = [], [], [], []
             for value in batch.column(1).cast(pa.binary()):
                 members = shingle_set(value.as_py() or b"", hashes, k)
@@ -137,7 +146,7 @@ def _entries(frequent: np.ndarray, keep: int, percent: int):
     known = frequent[order]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches):
             shorter, first = [], []
             for n, values in zip(batch.column(1).to_pylist(), batch.column(3)):
                 values = values.values.to_numpy()
