@@ -168,3 +168,13 @@ def test_checkpoint_dir_comes_from_the_session(spark):
     assert found
     if configured:
         assert configured.rstrip("/") in found
+
+
+def test_sized_join_takes_as_many_parts_as_the_rows_need(spark):
+    fact = spark.range(1000).select((F.col("id") % 100).alias("k"), "id")
+    dimension = spark.range(90).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    small = joins.sized_join(fact, dimension, "k", rows=1000)
+    sized = joins.sized_join(fact, dimension.hint("merge"), "k", rows=1000, part_rows=50)
+    assert sized.rdd.getNumPartitions() == 20 > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(map(tuple, sized.collect())) == sorted(map(tuple, small.collect()))
+    assert sized.count() == 900

@@ -12,6 +12,8 @@ from tradewind.session import ensure_checkpoint_dir
 BROADCAST_ROWS = 200_000
 # Rows of one key that one task of a shuffled lookup joins.
 TASK_ROWS = 1_000_000
+# Rows of a fact that one task of a sized join sorts.
+PART_ROWS = 500_000
 HOT_SHARE = 0.001
 SALTS = 64
 
@@ -74,6 +76,19 @@ def planned_join(
     return spread.join(copies, [key, "_salt"]).drop("_salt")
 
 
+def sized_join(fact: DataFrame, dimension: DataFrame, key: str, *, rows: int, part_rows: int = PART_ROWS) -> DataFrame:
+    """Inner join by shuffle in which a task sorts about `part_rows` rows of the fact, however many it has.
+
+    `rows` is the size of the fact. The session's number of shuffle partitions stays the same for larger
+    inputs, and adaptive execution only joins partitions up, so a task's memory would grow with the fact. Facts
+    that the cores at hand hold in parts of this size are joined as Spark sees fit.
+    """
+    parts = -(-rows // part_rows)
+    if parts <= fact.sparkSession.sparkContext.defaultParallelism:
+        return fact.join(dimension, key)
+    return fact.repartition(parts, key).join(dimension.repartition(parts, key), key)
+
+
 def salted_join(
     fact: DataFrame,
     dimension: DataFrame,
