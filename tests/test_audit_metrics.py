@@ -62,6 +62,33 @@ def test_kinds_decide_what_is_counted_exactly(tables, as_of, monkeypatch):
     assert "customer_id" not in counted
 
 
+def test_hashes_prove_a_text_key_and_values_count_the_rest(spark, as_of, monkeypatch):
+    frame = spark.range(2000).select(
+        F.concat(F.lit("k-"), "id").alias("text_id"),
+        F.concat(F.lit("k-"), F.greatest("id", F.lit(20))).alias("near_id"),
+        (F.col("id") / 2).alias("half"), F.floor(F.col("id") / 2).cast("double").alias("twice"),
+        F.when(F.col("id") > 0, F.col("id")).alias("gap"), (F.col("id") % 5).cast("string").alias("few"))
+    counted = []
+    exactly = audit._column_counts
+    monkeypatch.setattr(audit, "_column_counts", lambda t, frame, columns: (
+        counted.extend(c.name for c in columns), exactly(t, frame, columns))[1])
+    got = found(audit.audit_model({"t": frame}, as_of, kinds=["PK", "NEAR-KEY", "CONSTANT", "NO-PK"]))
+    assert got == {("PK", "t", "text_id"): 2000, ("PK", "t", "half"): 2000, ("NEAR-KEY", "t", "near_id"): 20}
+    assert counted == ["near_id"]
+
+
+def test_tables_are_written_once_with_the_columns_looked_at(tables, as_of):
+    customers = tables["customers"].join(tables["orders"].groupBy("customer_id").count(), "customer_id", "left").drop("count")
+    joined = {**tables, "customers": customers}
+    assert found(audit.audit_model(joined, as_of, write_once=True)) == found(audit.audit_model(tables, as_of))
+    orphans = audit.audit_model(joined, as_of, kinds=["ORPHAN"], write_once=True)
+    assert found(orphans) == found(audit.audit_model(tables, as_of, kinds=["ORPHAN"]))
+    written = audit._written(joined, audit.Patterns(), {("visits", "note"): ("customers", "kind")}, ids_only=True)
+    assert written["customers"].columns == ["customer_id", "kind"] and written["visits"].columns == ["customer_id", "note"]
+    plan = written["customers"]._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "FileScan" in plan
+
+
 def test_worst_first_and_summary(tables, as_of):
     findings = audit.audit_model(tables, as_of)
     order = [r["severity"] for r in findings.collect()]

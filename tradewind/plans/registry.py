@@ -106,7 +106,7 @@ SAMPLE_FOREIGN_KEYS = {
 def _audited(kind: str | None = None, summary: bool = False) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         star = SampleStar(spark, folder).star()
-        found = audit.audit_model(star, _date(AS_OF), kinds=None if kind is None else [kind])
+        found = audit.audit_model(star, _date(AS_OF), kinds=None if kind is None else [kind], write_once=True)
         return audit.audit_summary(found) if summary else found
 
     return run
