@@ -115,3 +115,78 @@ def test_awkward_rows(spark):
     assert sorted(found, key=str) == sorted([
         (None, 5, None, True), (1, 5, 1, True), (1, 5, 1, True), (2, 5, 1, False), (3, 0, 3, True), (4, 1, 4, True)], key=str)
     assert sketches.near_classes(frame(spark, [])).count() == 0
+
+
+def test_whole_sets_that_a_truncated_partner_could_meet(spark):
+    """105 and 104 shingles fit a sketch of 128 whole; their pairs need as many entries as other whole sets do."""
+    for n in range(1, 129):
+        longer, shorter = sketches.listed_lengths(n, 128, 80)
+        assert longer >= n - -(-80 * n // 100) + 1 and shorter >= n - -(-160 * n // 180) + 1
+    # The smaller set lacks the first 21 values of the larger one.
+    sets = spark.createDataFrame([(0, 105, 1, list(range(105))), (1, 84, 1, list(range(21, 105)))], "id long, n long, hits long, sketch array<long>")
+    large, small = sets.mapInArrow(sketches._entries(sketches.frequent_values(sets), 128, 80), sketches.LISTED).orderBy("id").collect()
+    assert set(large["first"]) & set(small["first"][: small["shorter"]])
+    rows = []
+    for g in range(12):
+        # The shorter text is the longer one's middle.
+        words = [f"g{g}w{i}" for i in range(108 + g)]
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(words[9: 12 - -80 * (105 + g) // 100]))]
+    found = sketches.near_classes(frame(spark, rows), keep=128)
+    assert {tuple(r) for r in found.collect()} == brute(rows, 4, 80)
+    assert found.where("kept").count() == 12
+
+
+def entries_of(spark, sets):
+    rows = [(i, len(v), sketches.entry_lengths(len(v), 512, 80)[0], 1, p, x, i) for i, v in sets for p, x in enumerate(v)]
+    return spark.createDataFrame(rows, "id long, n long, shorter long, hits long, pos int, value long, class long")
+
+
+def test_a_pair_is_made_in_one_list(spark, tmp_path):
+    """Near copies share most of their entries; joined list by list they would make twenty rows a pair."""
+    sets = [(i, [1000 * i + j for j in range(i % 3)] + list(range(100 - i % 3))) for i in range(30)]
+    made = sketches.open_pairs(entries_of(spark, sets), 512, 80)
+    rows = made._jdf.queryExecution()
+    pairs = {tuple(r) for r in made.collect()}
+
+    def joins(plan):
+        below = [plan.children().apply(i) for i in range(plan.children().size())]
+        if plan.nodeName().startswith("AdaptiveSparkPlan"):
+            below = [plan.executedPlan()]
+        elif "QueryStage" in plan.nodeName():
+            below = [plan.plan()]
+        own = [plan.metrics().apply("numOutputRows").value()] if "Join" in plan.nodeName() else []
+        return own + [n for x in below for n in joins(x)]
+
+    assert len(pairs) > 300 and max(joins(rows.executedPlan())) == len(pairs)
+
+
+def test_pairs_are_those_of_every_list(spark):
+    """Centres, which have met their lists, leave; all other pairs that share an entry stay."""
+    rng = random.Random(11)
+    sets = [(i, sorted(rng.sample(range(60), 40))) for i in range(40)]
+    held, short = dict(sets), sketches.entry_lengths(40, 512, 80)[1]
+    entries = entries_of(spark, [(i, v[:9]) for i, v in sets]).selectExpr("id", "40L n", f"{short}L shorter", "hits", "pos", "value", "class")
+    met = {tuple(r) for t in range(sketches.CENTRE_ROUNDS) for r in sketches.centre_pairs(entries, 80, t).collect()}
+    made = {tuple(r) for r in sketches.open_pairs(entries, 512, 80).collect()}
+    for a in held:
+        for b in held:
+            if a > b and 9 * (80 - 2 * len(set(held[a]) & set(held[b]))) <= 80:
+                assert (a, b) in met | made
+
+
+def test_marks_keep_linked_pairs():
+    import numpy as np
+
+    rng = random.Random(13)
+    bits = lambda x, y: int(np.unpackbits((x ^ y).view(np.uint8)).sum())
+    linked, others = [], []
+    for n in (5, 60, 400, 3_000):
+        for _ in range(60):
+            values = [rng.getrandbits(62) for _ in range(3 * n)]
+            x, near, far = (np.unique(np.array(v, np.uint64)) for v in (values[:n], values[n // 10: n + n // 10], values[n:]))
+            (odd, low), (near_odd, near_low), (_, far_low) = map(sketches.marks, (x, near, far))
+            assert bits(odd, near_odd) <= len(np.setxor1d(x, near))
+            if n > 512:
+                linked.append(bits(low, near_low))
+                others.append(bits(low, far_low))
+    assert max(linked) <= sketches.most_apart(80) < min(others)

@@ -11,11 +11,17 @@ smallest of them. A set of at most `keep` members is its own sketch.
 * Union sketch. The `keep` smallest values of two sketches together are the sketch of the union; the
   share of them that both sets hold estimates the similarity. A pair goes on unless a linked
   one would show so few with a probability below RISK. Of two whole sets it is the similarity itself.
+* Marks. Before sketches are sent to a pair, 256 bits a set tell most pairs apart. Of whole sets they are the
+  parities of the members that fall to each of 256 slots, in which two sets differ in no more
+  bits than members: exact. Of truncated sets they are one bit of each slot's smallest member; a
+  linked pair differs in too many of them with a probability below RISK.
 * Exact check. Pairs with a truncated set that pass are compared on the full sets, made again from
   the texts of those documents only.
 * Groups. Equal sets are one from the start. The sets of a list are first compared with one of
   them, its centre, which joins large groups of near copies in linear time; after that only
-  pairs whose members are not yet connected are made, in portions of a hot list.
+  pairs whose members are not yet connected are made, in portions of a hot list, without
+  the centres. A pair that meets in many lists is made in the first of them if that is
+  among the LEAD first open lists of both.
 
 Nothing is sampled or capped. Texts that differ little from one another but are not linked, in
 very large numbers, still meet in pairs.
@@ -36,8 +42,10 @@ from tradewind.llm.common import components, discard, ship, small_or_shuffled, s
 from tradewind.llm.set_join import WordHashes, fingerprint, least_size, shingle_set
 
 WORDS, PERCENT, KEEP = 4, 80, 512
-# Chance with which a linked pair of truncated sets may escape one of the two bounds.
+# Chance with which a linked pair of truncated sets may escape one of the three bounds.
 RISK = 1e-9
+# Bits of a set's marks, and open lists of a set that its entries name.
+MARKS, LEAD = 256, 8
 # Values put last in the order (8 bytes each in every task); the list changes the work, not the result.
 FREQUENT, FREQUENT_FROM, COUNTED = 131_072, 8, 2_000_000
 # Rounds against a list's centre, and entries of a list, or pairs of a set, that one task takes at once.
@@ -70,6 +78,21 @@ def fewest(n: int, keep: int, percent: int, risk: float = RISK) -> int:
     return 1
 
 
+def most_apart(percent: int, risk: float = RISK) -> int:
+    """Marks in which a linked pair of truncated sets differs, at most but for a chance under `risk`.
+
+    The smallest members of the slots are a draw from the union. One that is not shared, at most
+    100 - percent of a hundred, shows in half the cases.
+    """
+    p = (100 - percent) / 200
+    total = 0.0
+    for apart in range(MARKS, 0, -1):
+        total += math.comb(MARKS, apart) * p ** apart * (1 - p) ** (MARKS - apart)
+        if total >= risk:
+            return apart
+    return 0
+
+
 def entry_lengths(n: int, keep: int, percent: int) -> tuple[int, int]:
     """(longer, shorter): values of a set's sketch to look up smaller partners by, and larger ones."""
     if 100 * n // percent <= keep:
@@ -78,6 +101,14 @@ def entry_lengths(n: int, keep: int, percent: int) -> tuple[int, int]:
     return length, length
 
 
+def listed_lengths(n: int, keep: int, percent: int) -> tuple[int, int]:
+    """(longer, shorter) for partners of any size: a set of up to `keep` members can meet truncated and whole ones."""
+    longer, shorter = entry_lengths(n, keep, percent)
+    if n <= keep:
+        longer, shorter = max(longer, n + percent * n // -100 + 1), max(shorter, n + 2 * percent * n // -(100 + percent) + 1)
+    return longer, shorter
+
+
 def _portions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Slices of batches, since a sketch takes more room than most texts."""
     for batch in batches:
@@ -85,13 +116,23 @@ def _portions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, BATCH_ROWS)
 
 
+def marks(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(parities, lows) of ascending members, packed: see the module's text."""
+    slot = (members % np.uint64(MARKS)).astype(np.intp)
+    least = np.zeros(MARKS, np.uint64)
+    # Of several members of a slot the last one stays, which is the smallest.
+    least[slot[::-1]] = members[::-1]
+    odd = np.bincount(slot, minlength=MARKS) % 2
+    return tuple(np.packbits(x.astype(bool)).view(np.int64) for x in (odd, least // np.uint64(MARKS) % np.uint64(2)))
+
+
 def _sketcher(k: int, keep: int, percent: int):
     half = np.uint64(1 << 63)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in _portions(batches):
-            sizes, hits, prints, kept = [], [], [], []
+            sizes, hits, prints, kept, odd, low = [], [], [], [], [], []
             for value in batch.column(1).cast(pa.binary()):
                 members = shingle_set(value.as_py() or b"", hashes, k)
                 # Ascending as signed numbers, as Spark compares them.
@@ -101,9 +142,12 @@ def _sketcher(k: int, keep: int, percent: int):
                 hits.append(fewest(len(members), keep, percent))
                 prints.append(fingerprint(members))
                 kept.append(signed.view(np.int64))
+                for column, bits in zip((odd, low), marks(members)):
+                    column.append(bits)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(hits, pa.int64()), pa.array(prints, pa.binary()), _lists(kept)],
-                ["doc_id", "n_shingles", "hits", "print", "sketch"])
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(hits, pa.int64()), pa.array(prints, pa.binary()), _lists(kept), _lists(odd),
+                 _lists(low)],
+                ["doc_id", "n_shingles", "hits", "print", "sketch", "odd", "low"])
 
     return run
 
@@ -150,7 +194,7 @@ def _entries(frequent: np.ndarray, keep: int, percent: int):
             shorter, first = [], []
             for n, values in zip(batch.column(1).to_pylist(), batch.column(3)):
                 values = values.values.to_numpy()
-                longer, short = entry_lengths(n, keep, percent)
+                longer, short = listed_lengths(n, keep, percent)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, values), len(known) - 1)
                     late = known[at] == values
@@ -187,15 +231,15 @@ def _sizes_agree(x: Column, y: Column, percent: int) -> Column:
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
-def centre_pairs(entries: DataFrame, percent: int, turn: int) -> DataFrame:
-    """(a, b): the sets of every list with its centre.
+def _centre(entry: Column, turn: int) -> Column:
+    """The centre of a list: the smallest id at first, so that lists agree on it, and later one by
+    hash, so that they differ and a set meets many."""
+    return F.min_by(entry, F.xxhash64("id", "value", F.lit(turn))) if turn else F.min_by(entry, "id")
 
-    That is the smallest id at first, so that lists agree on it, and later one by hash, so that
-    they differ and a set meets many.
-    """
-    entry = F.struct("id", "n", "class")
-    centre = F.min_by(entry, F.xxhash64("id", "value")) if turn else F.min(entry)
-    lists = entries.groupBy("value").agg(centre.alias("c"))
+
+def centre_pairs(entries: DataFrame, percent: int, turn: int) -> DataFrame:
+    """(a, b): the sets of every list with its centre."""
+    lists = entries.groupBy("value").agg(_centre(F.struct("id", "n", "class"), turn).alias("c"))
     met = entries.join(lists, "value").where((F.col("class") != F.col("c.class")) & _sizes_agree(F.col("n"), F.col("c.n"), percent))
     return met.select(F.greatest("id", "c.id").alias("a"), F.least("id", "c.id").alias("b")).distinct()
 
@@ -208,15 +252,31 @@ def _enough(x: str, y: str, keep: int, percent: int) -> tuple[Column, Column]:
         F.greatest(F.col(f"{x}hits"), F.col(f"{y}hits")))
 
 
+def open_lists(entries: DataFrame) -> DataFrame:
+    """Entries of lists that hold several classes, without the lists' centres, which have met all others.
+
+    `lead` has the first few values of the set that are left, in the order of all values.
+    """
+    centres = [F.col(f"c{turn}") for turn in range(CENTRE_ROUNDS)]
+    lists = entries.groupBy("value").agg(
+        F.min("class").alias("low"), F.max("class").alias("high"), F.ceil(F.count(F.lit(1)) / PORTION).alias("portions"),
+        *[_centre(F.col("id"), turn).alias(f"c{turn}") for turn in range(CENTRE_ROUNDS)]).where("low <> high").drop("low", "high")
+    left = entries.join(lists, "value").where(~F.col("id").isin(*centres)).drop("c0", "c1")
+    held = left.groupBy("id", "n", "shorter", "hits", "class").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "value", "portions"))).alias("held"))
+    return held.select(
+        "id", "n", "shorter", "hits", "class", F.slice("held.value", 1, LEAD).alias("lead"), F.explode("held").alias("e")).select(
+            "id", "n", "shorter", "hits", "class", "lead", "e.*")
+
+
 def open_pairs(entries: DataFrame, keep: int, percent: int) -> DataFrame:
-    """(a, b): sets of different classes that meet with enough values left to be linked.
+    """(a, b): sets of different classes that meet with enough values left to be linked, after all rounds with centres.
 
     The larger set looks smaller ones up by its longer stretch, which meets their shorter one. A
-    list is cut into portions by the looking set, each of which meets all shorter entries.
+    list is cut into portions by the looking set, each of which meets all shorter entries. Where
+    the leads of two sets share a value, only the first such list makes the pair.
     """
-    lists = entries.groupBy("value").agg(
-        F.min("class").alias("low"), F.max("class").alias("high"), F.ceil(F.count(F.lit(1)) / PORTION).alias("portions")).where("low <> high")
-    shared = entries.join(lists.select("value", "portions"), "value")
+    shared = stored(open_lists(entries), "open")
     looking = shared.withColumn("portion", F.pmod(F.xxhash64("id"), F.col("portions")))
     found = shared.where("pos < shorter").withColumn("portion", F.explode(F.sequence(F.lit(0).cast("long"), F.col("portions") - 1)))
     x, y = looking.alias("x"), found.alias("y")
@@ -224,8 +284,9 @@ def open_pairs(entries: DataFrame, keep: int, percent: int) -> DataFrame:
     # The first value that two linked sets share leaves room for the others behind it.
     rest = F.least(F.least(nx, F.lit(keep)) - F.col("x.pos"), F.least(ny, F.lit(keep)) - F.col("y.pos"))
     _, enough = _enough("x.", "y.", keep, percent)
-    met = x.join(y, F.expr("x.value = y.value and x.portion = y.portion and y.n <= x.n and x.class <> y.class")).where(
-        (100 * ny >= percent * nx) & (rest >= enough))
+    first = F.get(F.array_intersect("x.lead", "y.lead"), F.lit(0))
+    met = x.join(y, F.expr("x.value = y.value and x.portion = y.portion and x.class <> y.class and (y.n < x.n or y.n = x.n and y.id < x.id)")).where(
+        (100 * ny >= percent * nx) & (rest >= enough) & (F.coalesce(first, F.col("x.value")) == F.col("x.value")))
     return met.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()
 
 
@@ -251,6 +312,19 @@ def with_both(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFram
     return pairs
 
 
+def not_apart(pairs: DataFrame, sets: DataFrame, keep: int, percent: int) -> DataFrame:
+    """(a, b) of pairs whose marks do not rule a link out."""
+    both = with_both(pairs, sets, ["n", "hits", "odd", "low"])
+
+    def apart(column: str) -> Column:
+        x, y = F.col(f"a_{column}"), F.col(f"b_{column}")
+        return sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(MARKS // 64)), F.lit(0))
+
+    whole, enough = _enough("a_", "b_", keep, percent)
+    near = F.when(whole, apart("odd") <= F.col("a_n") + F.col("b_n") - 2 * enough).otherwise(apart("low") <= most_apart(percent))
+    return both.where(near).select("a", "b")
+
+
 def estimated(pairs: DataFrame, sets: DataFrame, keep: int, percent: int) -> DataFrame:
     """(a, b, certain) of pairs whose union sketch does not rule a link out; certain: it is the whole union."""
     both = with_both(pairs, sets, ["n", "hits", "sketch"])
@@ -271,7 +345,8 @@ def near_classes(docs: DataFrame, *, k: int = WORDS, percent: int = PERCENT, kee
     """
     spark, docs = docs.sparkSession, docs.select("doc_id", "text")
     sketched = stored(docs.mapInArrow(
-        _sketcher(k, keep, percent), "doc_id long, n_shingles long, hits long, print binary, sketch array<long>"), "sketches")
+        _sketcher(k, keep, percent), "doc_id long, n_shingles long, hits long, print binary, sketch array<long>, odd array<long>, low array<long>"),
+        "sketches")
     named = stored(sketched.select("doc_id", "n_shingles", "print"), "named")
     chosen = named.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.min("print").alias("print"))
     # Equal sets are one: the smallest doc_id stands for all.
@@ -279,10 +354,10 @@ def near_classes(docs: DataFrame, *, k: int = WORDS, percent: int = PERCENT, kee
     # Prints are compared as bounds, so that the join is by id alone and its shuffle serves the next step too.
     sets = stored(sketched.where(F.col("n_shingles") >= least_size(percent)).alias("s").join(
         first.alias("f"), F.expr("s.doc_id = f.id and s.print >= f.print and s.print <= f.print")).select(
-            "f.id", F.col("n_shingles").alias("n"), "hits", "sketch").dropDuplicates(["id"]), "sets")
+            "f.id", F.col("n_shingles").alias("n"), "hits", "sketch", "odd", "low").dropDuplicates(["id"]), "sets")
     discard(sketched)
 
-    listed = sets.mapInArrow(
+    listed = sets.select("id", "n", "hits", "sketch").mapInArrow(
         _entries(frequent_values(sets), keep, percent), LISTED)
     entries = listed.select("id", "n", "shorter", "hits", F.posexplode("first").alias("pos", "value"))
     # A list of one set has nobody to meet.
@@ -300,7 +375,8 @@ def near_classes(docs: DataFrame, *, k: int = WORDS, percent: int = PERCENT, kee
             pairs = pairs.join(known, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         known = known.unionByName(pairs)
-        passed = stored(estimated(pairs, sets, keep, percent), "passed")
+        near = stored(not_apart(pairs, sets, keep, percent), "near")
+        passed = stored(estimated(near, sets, keep, percent), "passed")
         unsure = passed.where("not certain").select("a", "b")
         asked = unsure.select(F.col("a").alias("id")).unionByName(unsure.select(F.col("b").alias("id"))).distinct()
         ids = stored(asked.join(full.select("id"), "id", "left_anti").join(first, "id"), "ids")
